@@ -1,10 +1,16 @@
 """Queries of this subpackage and their SQL."""
 
-from . import source_mix, token_files, url_filter
+from . import decontaminate, divergence, jaccard_join, language_id, license_scan, ngram_model, source_mix, token_files, url_filter
 
 QUERIES = {
+    "op1_ngram_score": ngram_model.op1_ngram_score,
     "op2_url_filter": url_filter.op2_url_filter,
+    "op3_language_id": language_id.op3_language_id,
     "op4_source_mix": source_mix.op4_source_mix,
+    "op5_divergence": divergence.op5_divergence,
+    "op6_decontaminate": decontaminate.op6_decontaminate,
+    "op8_jaccard_join": jaccard_join.op8_jaccard_join,
+    "op9_license_scan": license_scan.op9_license_scan,
     "op10_token_files": token_files.op10_token_files,
 }
 ORACLE_SQL = {"op2_url_filter": url_filter.ORACLE_SQL}

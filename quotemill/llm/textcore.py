@@ -16,6 +16,8 @@ _TABLE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uin
 _TABLE[[9, 10, 11, 12, 13, 32]] = 0
 _LOWERED = _TABLE.copy()
 _LOWERED[65:91] = _TABLE[97:123]
+_PLAIN = _TABLE.copy()
+_PLAIN[[c for c in range(33, 127) if not chr(c).isalnum()]] = 0
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS = [np.ones(0, np.uint64), np.ones(0, np.uint64)]
 
@@ -67,9 +69,14 @@ def _cuts(data: np.ndarray, offsets: np.ndarray):
         a = b
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word in order, and the number of words of each row."""
-    table, out = (_LOWERED if lower else _TABLE), []
+def plain_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs of characters other than ASCII white space and punctuation, and their number in each row."""
+    return word_hashes(*text_bytes(column), table=_PLAIN)
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, table: np.ndarray = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word in order, and the number of words of each row; A-Z count as a-z unless `table` says else."""
+    table, out = (_LOWERED if table is None else table), []
     counts = np.zeros(len(offsets) - 1, np.int64)
     for a, b in _cuts(data, offsets):
         value = table[data[a:b]]
