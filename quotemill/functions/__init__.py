@@ -1 +1 @@
-
+"""Column expressions; no Python UDFs."""

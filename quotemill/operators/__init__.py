@@ -1 +1 @@
-
+"""DataFrame operators: tables and column names in, a table out."""
