@@ -1,6 +1,6 @@
 """Queries of this subpackage and their SQL."""
 
-from . import decontaminate, divergence, jaccard_join, language_id, license_scan, ngram_model, source_mix, token_files, url_filter
+from . import decontaminate, divergence, jaccard_join, language_id, license_scan, ngram_model, source_mix, suffix_dedup, token_files, url_filter
 
 QUERIES = {
     "op1_ngram_score": ngram_model.op1_ngram_score,
@@ -9,6 +9,7 @@ QUERIES = {
     "op4_source_mix": source_mix.op4_source_mix,
     "op5_divergence": divergence.op5_divergence,
     "op6_decontaminate": decontaminate.op6_decontaminate,
+    "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
     "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op9_license_scan": license_scan.op9_license_scan,
     "op10_token_files": token_files.op10_token_files,
