@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import shared
 from .divergence import split_words
 
 #: Standard notices (fixed values).
@@ -78,13 +79,13 @@ def best_licences(found: DataFrame, templates: dict[str, list[str]], threshold:
     tokens = tokens.groupBy("unit", "count", "term").agg(F.count("*").alias("tf"))
     model = spark.createDataFrame([(f"{k}#{i}", k, t) for k, v in templates.items() for i, t in enumerate(v)], "template string, licence string, body string")
     model = model.select("template", "licence", F.explode(terms(F.col("body"))).alias("term")).groupBy("template", "licence", "term").agg(F.count("*").alias("tf_t"))
-    total = counted.agg(F.sum("count").alias("total"))
-    weight = lambda df: F.log((1 + F.col("total")) / (1 + F.coalesce(F.col(df), F.lit(0)))) + 1
+    total = counted.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+    weight = lambda df: F.log((1 + F.lit(total)) / (1 + F.coalesce(F.col(df), F.lit(0)))) + 1
     frequencies = tokens.groupBy("term").agg(F.sum("count").alias("df"))
-    idf = frequencies.join(F.broadcast(total)).select("term", weight("df").alias("idf"))
+    idf = frequencies.select("term", weight("df").alias("idf"))
     vectors = tokens.join(idf, "term").withColumn("x", F.col("tf") * F.col("idf"))
     norms = vectors.groupBy("unit").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    model = model.join(frequencies, "term", "left").join(F.broadcast(total)).withColumn("y", F.col("tf_t") * weight("df"))
+    model = model.join(frequencies, "term", "left").withColumn("y", F.col("tf_t") * weight("df"))
     norms_t = model.groupBy("template").agg(F.sqrt(F.sum(F.col("y") * F.col("y"))).alias("norm_t"))
     dots = vectors.join(model.select("term", "template", "licence", "y"), "term").groupBy("unit", "template", "licence").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
     cosines = dots.join(norms, "unit").join(norms_t, "template").withColumn("cosine", F.col("dot") / (F.col("norm") * F.col("norm_t")))
@@ -103,7 +104,7 @@ def scan(files: DataFrame, file_id: str = "doc_id", path: str = "path", text: st
     # a row is known by its id, path and text: equal rows get equal answers
     row = F.xxhash64(file_id, path, text)
     rows = files.select(F.col(file_id), F.col(path).alias("path"), F.col(text).alias("_text"), row.alias("_row"))
-    found = units(rows, file_id, "path", "_text").distinct()
+    found = shared.keep(units(rows, file_id, "path", "_text").distinct(), "licence-units")
     scored = found.join(best_licences(found, templates, threshold), "unit")
     own = scored.groupBy("_row").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "licence")).alias("b"), F.max("is_file").alias("is_file"))
     own = own.select("_row", F.col("b.licence").alias("licence"), (-F.col("b.c")).alias("cosine"), "is_file")
