@@ -73,13 +73,6 @@ def memory_map(uri: str) -> pa.Buffer:
     return pa.memory_map(path).read_buffer()
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    """Remove a path of the shared folder that no later plan reads."""
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def partitions(spark: SparkSession) -> int:
     """Shuffle partitions of the session."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

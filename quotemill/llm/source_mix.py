@@ -134,11 +134,11 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     block = options.get("block", 1024)
     digest = mix_digest(*mix_sources(docs, **options), block)
     same = W.partitionBy("doc_id", "row_hash")
-    counts = digest.withColumn("row_no", F.row_number().over(same.orderBy(F.desc("copies")))).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("row_hash").alias("_hash"), F.col("row_no").alias("_no"), "copies")
+    counts = digest.withColumn("row_no", F.row_number().over(same.orderBy(F.desc("copies")))).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("row_hash").alias("_hash"), F.col("row_no").alias("_no"), F.col("copies").alias("_copies_of"))
     rows = docs.withColumn("_hash_of", F.xxhash64("text"))
     rows = rows.withColumn("_no_of", F.row_number().over(W.partitionBy("doc_id", "_hash_of").orderBy(F.xxhash64(*docs.columns))))
     joined = rows.join(counts, rows["doc_id"].eqNullSafe(counts["_id"]) & (rows["_hash_of"] == counts["_hash"]) & (rows["_no_of"] == counts["_no"]))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies_of")))).select(*docs.columns)
 
 
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

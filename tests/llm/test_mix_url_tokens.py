@@ -46,7 +46,7 @@ def test_mix_meets_targets(spark):
 
 
 def test_mixed_documents_and_schedule(spark):
-    docs = documents(spark)
+    docs = documents(spark).selectExpr("*", "1 AS copies", "2 AS size", "3 AS row_hash", "4 AS block")
     out = source_mix.mixed_documents(docs, block=64)
     assert out.columns == docs.columns and out.count() > 0
     pieces, slots = source_mix.mix_sources(docs, block=64)
