@@ -15,6 +15,7 @@ gives no files.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from itertools import accumulate
 
@@ -24,36 +25,63 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import shared
+from . import arrays, shared
 
 SEQUENCE = 2048
 BATCH = 64
-_CACHE_WORDS = 300_000
+_CACHE_WORDS = 600_000
+_STOP = re.compile(rb"(?<=[a-z])([.,])(?=[\x20\x09-\x0D]|$)")
 _encoders: dict[str, "WordEncoder"] = {}
 
 
 class WordEncoder:
-    """Ids of a text by a tokenizer that drops white space, so words can be encoded apart and remembered."""
+    """Ids of a text by a tokenizer that drops white space and case, so words can be encoded apart and remembered.
+
+    A point or comma between an ASCII letter and white space is a word of its own, as it
+    is to such a tokenizer. New words of letters alone are encoded many at a time and told
+    apart by the vocabulary's mark of a word's end, others one by one.
+    """
 
     def __init__(self, path: str, width: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.dtype, self.known = Tokenizer.from_file(path), np.dtype(f"<u{width}"), {}
-
-    def __call__(self, text: bytes) -> bytes:
-        words, known = text.split(), self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            if len(known) > _CACHE_WORDS:
-                known.clear()
-            new = [w for w in dict.fromkeys(words) if w not in known]
+        ending = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = None
+        if ending:
+            vocabulary = self.tokenizer.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[k for t, k in vocabulary.items() if t.endswith(ending)]] = True
+
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
+        # special tokens keep their case
+        split = [_STOP.sub(rb" \1", t if b"<|" in t else t.lower()).split() for t in texts]
+        new = set().union(*split).difference(self.known)
+        if new:
+            if len(self.known) > _CACHE_WORDS:
+                self.known.clear()
+                new = set().union(*split)
+            new = sorted(new)
             for k in range(0, len(new), 4096):
-                part = new[k : k + 4096]
-                for w, e in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)):
-                    known[w] = np.array(e.ids, self.dtype).tobytes()
-            return b"".join([known[w] for w in words])
+                self._learn(new[k : k + 4096])
+        known = self.known
+        return [b"".join([known[w] for w in words]) for words in split]
+
+    def _learn(self, words: list[bytes]) -> None:
+        texts = {w: w.decode() for w in words}
+        plain = [w for w, t in texts.items() if t.isalpha()] if self.ends is not None else []
+        if plain:  # one token that ends a word for each
+            ids = np.array(self.tokenizer.encode(" ".join([texts[w] for w in plain]), add_special_tokens=False).ids, self.dtype)
+            stops = (np.flatnonzero(self.ends[ids]) + 1) * self.dtype.itemsize
+            if len(stops) == len(plain):
+                raw, start = ids.tobytes(), 0
+                for w, stop in zip(plain, stops.tolist()):
+                    self.known[w] = raw[start:stop]
+                    start = stop
+        rest = [w for w in words if w not in self.known]
+        for w, e in zip(rest, self.tokenizer.encode_batch([texts[w] for w in rest], add_special_tokens=False)):
+            self.known[w] = np.array(e.ids, self.dtype).tobytes()
 
 
 def id_width(tokenizer: str) -> int:
@@ -128,9 +156,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
             writer, ordinals, sizes = _ShardWriter(sink, width, length), [], []
             for batch in (b for some in ([first], batches) for b in some):
                 ordinals.append(batch.column(0))
-                for value in batch.column(1).cast(pa.large_binary()):
-                    writer.add(one := encode(value.as_py()) + end)
-                    sizes.append(len(one) // width)
+                for part in arrays.slices(batch, limit=1 << 20):
+                    for one in encode(part.column(1).cast(pa.large_binary()).to_pylist()):
+                        writer.add(one := one + end)
+                        sizes.append(len(one) // width)
             said.update(n_sequences=writer.close(), n_docs=len(sizes), n_tokens=sum(sizes), ordinals=ordinals, sizes=np.array(sizes, np.int64))
 
         shared.write_atomic(path, f"ids-{shard:06d}.arrow", ids)
