@@ -21,6 +21,7 @@ from . import shared
 SYMBOLS = "#*$%&|<>"
 CLASSES = ("lower", "upper", "digit", "space", "symbol", "wide", "other")
 WINDOW = 8
+MOST_LANGUAGES = 10_000
 
 
 def let(value: Column, body) -> Column:
@@ -28,22 +29,18 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _without(text: Column, characters: str) -> Column:
-    for c in characters:
-        text = F.replace(text, F.lit(c), F.lit(""))
-    return text
+BLANK = r"\x20\x09-\x0D"
 
 
-def plain_spaces(text: Column) -> Column:
-    """ASCII white space as blanks."""
-    for c in "\t\n\x0b\x0c\r":
-        text = F.replace(text, F.lit(c), F.lit(" "))
-    return text
+def _only(text: Column, characters: str) -> Column:
+    """How many characters of a text are in the class."""
+    return F.char_length(F.regexp_replace(text, f"[^{characters}]+", ""))
 
 
 def split_words(text: Column) -> Column:
     """`[^\\x20\\x09-\\x0D]+` of a text, in order."""
-    return F.filter(F.split(plain_spaces(text), " "), lambda w: w != "")
+    inner = F.btrim(text, F.lit(" \t\n\x0b\x0c\r"))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, f"[{BLANK}]+"))
 
 
 def repeated_words(words: Column, window: int = WINDOW) -> Column:
@@ -70,35 +67,44 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
 
 def repeated_lines(text: Column) -> Column:
     """Number of lines with a word that equal an earlier line."""
-    lines = F.filter(F.split(text, "\n"), lambda x: _without(x, " \t\x0b\x0c\r") != "")
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(f"[^{BLANK}]"))
     return let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
 
 
-def class_counts(text: Column, solid: Column, symbols: Column) -> Column:
-    """Characters of a text by CLASSES."""
-    size = F.char_length(text)
-    kept = {k: F.char_length(F.regexp_replace(text, p, "")) for k, p in (("lower", "[^a-z]+"), ("upper", "[^A-Z]+"), ("digit", "[^0-9]+"))}
-    kept |= {"space": size - solid, "symbol": symbols, "wide": size - F.char_length(F.regexp_replace(text, "[^\\x00-\\x7F]+", ""))}
-    rest = size - sum(kept.values(), F.lit(0))
-    return F.array(*[kept.get(k, rest).cast("double") for k in CLASSES])
+def class_counts() -> Column:
+    """Characters of a text by CLASSES, from the columns that `with_classes` adds; `wide` counts bytes beyond the first of a character."""
+    text, rare, symbols = F.col("_text"), F.col("_rare"), F.col("n_symbols")
+    found = {"lower": F.char_length(text) - F.char_length(rare), "upper": _only(rare, "A-Z"), "digit": _only(rare, "0-9"), "space": F.col("_spaces"), "symbol": symbols, "wide": F.octet_length(text) - F.char_length(text)}
+    rest = F.char_length(text) - sum((found[k] for k in CLASSES[:-2]), F.lit(0))
+    return F.array(*[found.get(k, rest).cast("double") for k in CLASSES])
+
+
+def with_classes(docs: DataFrame, text: str = "text") -> DataFrame:
+    """`docs` with word_chars, n_symbols and what they come from; null texts count as empty."""
+    rows = docs.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
+    rows = rows.withColumn("_rare", F.regexp_replace("_text", "[a-z]+", ""))  # the other classes are looked for in what is left
+    rows = rows.withColumns({"_spaces": _only(F.col("_rare"), BLANK), "n_symbols": _only(F.col("_rare"), SYMBOLS.replace("&", r"\&")).cast("long")})
+    return rows.withColumn("word_chars", (F.char_length("_text") - F.col("_spaces")).cast("long"))
 
 
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` with _words and the base counts; null texts count as empty."""
-    of = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.withColumns({"_text": of}).withColumn("_words", split_words(F.col("_text")))
-    solid = F.char_length(_without(F.col("_text"), " \t\n\x0b\x0c\r"))
-    symbols = F.char_length("_text") - F.char_length(_without(F.col("_text"), SYMBOLS))
-    return rows.withColumns({"n_words": F.size("_words").cast("long"), "word_chars": solid.cast("long"), "n_symbols": symbols.cast("long")})
+    """The same, with _words and n_words."""
+    rows = with_classes(docs, text).withColumn("_words", split_words(F.col("_text")))
+    return rows.withColumn("n_words", F.size("_words").cast("long"))
 
 
 def language_references(docs: DataFrame, min_reference: int = 1000, least_share: float = 0.01, lang: str = "lang", text: str = "text") -> DataFrame:
     """A row for each language: its common words, their shares with the rest's behind them, and its character classes' shares."""
-    rows = measured(docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where(F.col("lang").isNotNull()))
-    rows = rows.select("lang", "_words", "n_words", class_counts(F.col("_text"), F.col("word_chars"), F.col("n_symbols")).alias("classes"))
-    totals = rows.groupBy("lang").agg(F.sum("n_words").alias("total"), *[F.sum(F.col("classes")[k]).alias(f"c{k}") for k in range(len(CLASSES))])
-    totals = totals.where(F.col("total") >= min_reference)
-    counts = rows.select("lang", F.explode("_words").alias("word")).groupBy("lang", F.lower("word").alias("word")).count()
+    texts = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where(F.col("lang").isNotNull())
+    counted = with_classes(texts).select("lang", class_counts().alias("classes"))
+    sums = counted.groupBy("lang").agg(*[F.sum(F.col("classes")[k]).alias(f"c{k}") for k in range(len(CLASSES))])
+    words = texts.select("lang", F.explode(split_words(F.coalesce("text", F.lit("")))).alias("word"))
+    counts = shared.keep(words.groupBy("lang", "word").count(), "word-counts")
+    totals = counts.groupBy("lang").agg(F.sum("count").alias("total")).where(F.col("total") >= min_reference)
+    totals = shared.keep(totals.join(sums, "lang"), "language-totals")
+    if totals.count() > MOST_LANGUAGES:
+        raise ValueError(f"over {MOST_LANGUAGES} languages")
+    totals = F.broadcast(totals)  # a row for each language, checked
     common = counts.join(totals.select("lang", "total"), "lang").where(F.col("count") >= F.col("total") * least_share)
     lists = common.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct((F.col("count") / F.col("total")).alias("share"), "word")), False).alias("common"))
     classes = F.array(*[F.col(f"c{k}") for k in range(len(CLASSES))])
@@ -127,16 +133,16 @@ def quality(docs: DataFrame, references: DataFrame, min_words: int = 50, most_cl
     """Base counts, base_failed, the two distances (null where a guard holds) and kept, for every row."""
     rows = measured(docs, text).withColumns({"n_dup_lines": repeated_lines(F.col("_text")).cast("long"), "n_repeat_words": repeated_words(F.col("_words")).cast("long")})
     rows = rows.withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
-    rows = rows.join(references, F.col(lang) == F.col("_lang"), "left")
+    rows = rows.join(F.broadcast(references), F.col(lang) == F.col("_lang"), "left")  # at most MOST_LANGUAGES rows of at most 100 words
     compared = F.col("_lang").isNotNull() & (F.col("n_words") >= min_words)
-    bins = F.filter(F.transform("_words", lambda w: F.array_position("_common", F.lower(w))), lambda k: k > 0)
-    known = let(bins, lambda b: F.transform("_common", lambda _, k: F.size(F.filter(b, lambda x: x == k + 1)).cast("double")))
+    bins = F.array_remove(F.transform("_words", lambda w: F.array_position("_common", w)), 0)
+    known = let(bins, lambda b: F.transform("_common", lambda _, k: (F.size(b) - F.size(F.array_remove(b, (k + 1).cast("long")))).cast("double")))
     words = let(known, lambda k: F.concat(k, F.array(F.col("n_words") - F.aggregate(k, F.lit(0.0), lambda a, b: a + b))))
-    rows = rows.withColumn("class_distance", F.when(compared, jensen_shannon(_normal(class_counts(F.col("_text"), F.col("word_chars"), F.col("n_symbols"))), F.col("_classes"))))
+    rows = rows.withColumn("class_distance", F.when(compared, jensen_shannon(_normal(class_counts()), F.col("_classes"))))
     rows = rows.withColumn("word_distance", F.when(compared, jensen_shannon(_normal(words), F.col("_shares"))))
     far = F.coalesce(F.col("class_distance") > most_class, F.lit(False)) | F.coalesce(F.col("word_distance") > most_word, F.lit(False))
     rows = rows.withColumn("kept", ~F.col("base_failed") & ~far)
-    return rows.drop("_text", "_words", "_lang", "_common", "_shares", "_classes")
+    return rows.drop("_text", "_rare", "_spaces", "_words", "_lang", "_common", "_shares", "_classes")
 
 
 def op5_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
