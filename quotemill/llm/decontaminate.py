@@ -3,9 +3,8 @@
 Benchmark items are TF-IDF passages over their own vocabulary, with the document
 frequencies of the whole corpus. A randomised SVD, its products summed over partitions,
 gives a latent space; documents are cut into windows of words, as long as the items of a
-length class, and searched by cosine with the items in that space. A window's share of
-weight on the benchmark's vocabulary bounds its cosine from above, so windows below the
-bound are passed over without loss. Candidates are then compared word by word: the
+length class, and searched by cosine with the items in that space, taken against the item's own
+cosine there. Candidates are then compared word by word: the
 longest common subsequence with the item, and that of the item's answer (what follows
 the last "Answer:", else its last fifth).
 
@@ -30,9 +29,9 @@ from .textcore import plain_words, sorted_counts
 
 DF_BITS = 14
 STRIDE = 8
-#: Words of a window by the largest number of words of an item.
+#: Words of a window (a power of 2 of strides) by the largest number of words of an item.
 WINDOWS = ((18, 16), (44, 32), (1 << 30, 64))
-LATENT = 160
+LATENT = 40
 
 
 def _normal(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -138,8 +137,10 @@ def build_index(items: DataFrame, idf: np.ndarray) -> Index:
     vocabulary, _ = sorted_counts(words)
     latent = latent_space(items, vocabulary, idf) if len(vocabulary) else np.zeros((0, 1), np.float32)
     vectors = np.array([x @ latent[at] for at, x in _rows(words, counts, vocabulary, idf)], np.float32).reshape(len(each), latent.shape[1])
-    norms = np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-    return Index(rows.column("item_id").to_pylist(), each, answers, vocabulary, latent, vectors / norms, idf)
+    # an item's own text has the value 1: what the space leaves out of the item is left out of both sides
+    scaled = vectors / np.maximum((vectors * vectors).sum(axis=1, keepdims=True), 1e-9)
+    weighted = np.vstack((latent * idf[_bucket(vocabulary)][:, None], np.zeros((1, latent.shape[1])))).astype(np.float32)
+    return Index(rows.column("item_id").to_pylist(), each, answers, vocabulary, weighted, scaled, idf)
 
 
 def lcs_length(a: np.ndarray, b: np.ndarray) -> int:
@@ -157,54 +158,60 @@ def lcs_length(a: np.ndarray, b: np.ndarray) -> int:
 
 def _search(index: Index, words: np.ndarray, counts: np.ndarray, cosine: float, similar: float, accept: float):
     """(row, item, cosine, lcs, answer lcs, first word) of the matches in a batch, the best of each row and item."""
-    at = np.searchsorted(index.vocabulary, words)
-    at[at == len(index.vocabulary)] = 0
-    known = index.vocabulary[at] == words
-    weight = index.idf[_bucket(words)] ** 2
     n_blocks = -(-counts // STRIDE)
-    ends = np.cumsum(counts)
-    first_block = np.cumsum(n_blocks) - n_blocks
+    ends, first_block = np.cumsum(counts), np.cumsum(n_blocks) - n_blocks
     row_of = np.repeat(np.arange(len(counts)), n_blocks)
-    start = (ends - counts)[row_of] + (np.arange(n_blocks.sum()) - first_block[row_of]) * STRIDE
+    start = (ends - counts)[row_of] + (np.arange(len(row_of)) - first_block[row_of]) * STRIDE
     if not len(start):
         return
-    zero = lambda x: np.concatenate((np.cumsum(np.add.reduceat(x, start), dtype=np.float64), [0.0]))
-    all_sum, own_sum = zero(weight), zero(np.where(known, weight, 0))
+    at = np.minimum(np.searchsorted(index.vocabulary, words), len(index.vocabulary) - 1)
+    at = np.where(index.vocabulary[at] == words, at, len(index.vocabulary))  # the last row is of zeros
+    inside = np.arange(STRIDE) < np.minimum(STRIDE, ends[row_of] - start)[:, None]
+    placed = np.where(inside, np.append(at, 0)[np.minimum(start[:, None] + np.arange(STRIDE), len(at))], len(index.vocabulary))
+    blocks = index.latent[placed[:, 0]]
+    for k in range(1, STRIDE):
+        blocks += index.latent[placed[:, k]]
+    weights = np.add.reduceat(index.idf[_bucket(words)] ** 2, start)
     sizes = np.array([len(w) for w in index.words])
     best: dict[tuple[int, int], tuple] = {}
-    low = 0
+    seen: dict[tuple[int, int], int] = {}
+    stamps, stamp = np.zeros(len(index.vocabulary) + 1, np.int64), 0
+    own = [np.searchsorted(index.vocabulary, w) for w in index.words]
+    sums, norms, have, low = blocks, weights.astype(np.float32), 1, 0
     for most, width in WINDOWS:
+        while have < width // STRIDE:  # windows of twice as many blocks, each within its row
+            if have < len(start):
+                same = (row_of[have:] == row_of[:-have]).astype(np.float32)
+                sums, norms = sums.copy(), norms.copy()
+                sums[:-have] += sums[have:] * same[:, None]
+                norms[:-have] += norms[have:] * same
+            have *= 2
         items = np.flatnonzero((sizes > low) & (sizes <= most))
         low = most
         if not len(items):
             continue
-        stop = np.minimum(np.arange(len(start)) + width // STRIDE, (first_block + n_blocks)[row_of]) - 1
-        total = all_sum[stop] - np.where(np.arange(len(start)) > 0, all_sum[np.arange(len(start)) - 1], 0)
-        own = own_sum[stop] - np.where(np.arange(len(start)) > 0, own_sum[np.arange(len(start)) - 1], 0)
-        for w in np.flatnonzero(own >= cosine**2 * np.maximum(total, 1e-9) - 1e-6):
-            a, row = int(start[w]), int(row_of[w])
-            b = min(a + width, int(ends[row]))
-            inside = at[a:b][known[a:b]]
-            x = index.idf[_bucket(words[a:b][known[a:b]])]
-            vector = x @ index.latent[inside]
-            cosines = index.items[items] @ vector / np.sqrt(max(float(total[w]), 1e-9))
-            for i in np.flatnonzero(cosines >= cosine):
-                item = int(items[i])
-                wide = len(index.words[item])
-                lo, hi = max(int(ends[row] - counts[row]), a - wide // 2), min(int(ends[row]), b + wide)
-                if (row, item) in best and best[row, item][5] == lo // wide:
-                    continue
-                region = words[lo:hi]
-                lcs = lcs_length(index.words[item], region) / wide
-                answer = lcs_length(index.answers[item], region) / len(index.answers[item])
-                if lcs >= accept or lcs >= similar and answer >= 0.8:
-                    if (row, item) not in best or best[row, item][1] < lcs:
-                        best[row, item] = (float(cosines[i]), lcs, answer, a - int(ends[row] - counts[row]), 0, lo // wide)
-    for (row, item), (c, lcs, answer, word, *_) in sorted(best.items()):
-        yield row, index.ids[item], c, lcs, answer, word
-
-
-def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.45, similar: float = 0.5, accept: float = 0.7, block: int = 5000, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+        cosines = sums @ index.items[items].T / np.sqrt(np.maximum(norms, 1e-9))[:, None]
+        for hit in np.flatnonzero(cosines >= cosine).tolist():
+            w, i = divmod(hit, len(items))
+            item, row, a = int(items[i]), int(row_of[w]), int(start[w])
+            wide, lo, hi = len(index.words[item]), int(ends[row] - counts[row]), int(ends[row])
+            if seen.get((row, item), -1) >= min(hi, a + width):
+                continue
+            left, right = max(lo, a - wide), min(hi, a + width + wide)
+            seen[row, item] = right
+            stamp += 1
+            stamps[at[left:right]] = stamp
+            if (stamps[own[item]] == stamp).sum() < min(accept, similar) * wide:  # no longer subsequence than words in common
+                continue
+            lcs = lcs_length(index.words[item], words[left:right]) / wide
+            answer = lcs_length(index.answers[item], words[left:right]) / len(index.answers[item])
+            if (lcs >= accept or lcs >= similar and answer >= 0.8) and ((row, item) not in best or best[row, item][1] < lcs):
+                best[row, item] = (float(cosines[w, i]), lcs, answer, a - lo)
+    for (row, item), found in sorted(best.items()):
+        yield row, index.ids[item], *found
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.4, similar: float = 0.5, accept: float = 0.7, block: int = 5000, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc_id, item_id, cosine, lcs, answer and word (where the window starts) of every match."""
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text"))
@@ -217,7 +224,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.45, simi
 
         def search(batches, held=held):
             for batch in batches:
-                for part in arrays.slices(batch):
+                for part in arrays.slices(batch, limit=1 << 20):
                     found = list(_search(held.value, *_normal(part.column(1)), cosine, similar, accept)) if len(held.value.vocabulary) else []
                     if found:
                         cols = list(zip(*found))
