@@ -8,10 +8,11 @@ their first n - ceil(0.75 n) + 1 shingles. Steps:
    sorted hash arrays in the shared folder (a shingle of one document links nothing);
 2. documents with the same set become one class; classes with the same size and prefix
    become one group, and only a group's prefix goes to the inverted lists;
-3. links that hold most components together are found first: each class against the first
-   of its group, each group against the first of each list it is in;
-4. what then still lies in different components but shares a list is expanded from groups
-   to classes and verified in full. Pairs within a component are not compared again.
+3. links that hold components together are found in rounds: each list has drawn heads,
+   and the classes of its groups that aren't in a head's component are compared with it,
+   until few pairs across components are left (or for ROUNDS rounds);
+4. whatever then still lies in different components but shares a list is expanded from
+   groups to classes and verified in full. Pairs within a component are not compared again.
 
 Frequencies are counted on 48 bits of the hash, which moves the order but loses no link;
 sets hold 64 bits. Texts of fewer than five words have one shingle, texts without words
@@ -32,7 +33,10 @@ from .components import connected_components
 from .textcore import map_texts, shingle_hashes, sorted_counts, word_hashes
 
 LOW = np.uint64((1 << 48) - 1)
+BITS = np.uint64(1023)
 SHARD_BYTES = 24 << 20
+#: Rounds of comparing with heads of lists; heads of a list in one; among how many draws the lists of a cluster share.
+ROUNDS, DRAWS, HEADS = 6, 3, 4
 
 
 def _sets(batch: pa.RecordBatch, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -118,17 +122,27 @@ def signatures(docs: DataFrame, words: int = 5, percent: int = 75, doc_id: str =
                     tokens = (prefix[prefix >= np.uint64(2 << 48)] & LOW).astype(np.int64)
                     shared_set = own[df[b - n : b] > 1].tobytes() if len(tokens) else None
                     digest = lambda x: xxhash.xxh3_64_intdigest(x.tobytes(), n) - (1 << 63)
-                    rows.append((n, digest(prefix & LOW), digest(own), tokens, shared_set))
-                cols = list(zip(*rows)) if rows else [[]] * 5
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(c, t) for c, t in zip(cols, kinds)]], names=["doc_id", "n", "prefix_hash", "node", "tokens", "shared"])
+                    odd = np.packbits(np.bincount((own & BITS).astype(np.int64), minlength=1024).astype(np.uint8) & 1).view(np.int64) if len(tokens) else None
+                    rows.append((n, digest(prefix & LOW), digest(own), tokens, shared_set, odd))
+                cols = list(zip(*rows)) if rows else [[]] * 6
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(c, t) for c, t in zip(cols, kinds)]], names=["doc_id", "n", "prefix_hash", "node", "tokens", "shared", "odd"])
 
-    schema = "doc_id long, n long, prefix_hash long, node long, tokens array<long>, shared binary"
+    schema = "doc_id long, n long, prefix_hash long, node long, tokens array<long>, shared binary, odd array<long>"
     return shared.keep(docs.select(F.col(doc_id).cast("long").alias("doc_id"), "text").mapInArrow(sign, schema), "signatures")
 
 
 def verify(pairs: DataFrame, classes: DataFrame, percent: int = 75) -> DataFrame:
-    """Those pairs (a, b of nodes) whose sets are similar enough; sets hold the shingles that any two documents share."""
+    """Those pairs (a, b of nodes) whose sets are similar enough; sets hold the shingles that any two documents share.
+
+    Before the sets are joined, pairs go whose parity bitmaps differ in more bits than two
+    similar sets have different shingles: a bound that loses none.
+    """
+    bits = classes.select("node", "n", "odd")
+    small = pairs.join(bits.withColumnsRenamed({"node": "b", "n": "n_y", "odd": "odd_b"}), "b").join(bits.withColumnsRenamed({"node": "a", "n": "n_x", "odd": "odd_a"}), "a")
+    differ = F.aggregate(F.zip_with("odd_a", "odd_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    both = F.col("n_x") + F.col("n_y")
+    pairs = small.where(100 * (both - differ) >= percent * (both + differ)).select("a", "b")
     right = classes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("set_b"))
     left = classes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("shared").alias("set_a"))
     sized = pairs.join(right, "b").join(left, "a")
@@ -153,7 +167,7 @@ def _fits(x: str, y: str, percent: int) -> Column:
 
 def similar_classes(signed: DataFrame, percent: int = 75) -> DataFrame:
     """(node, component) of the classes of equal sets that are linked to other classes."""
-    rows = signed.where("n > 0").groupBy("node", "n", "prefix_hash").agg(F.first("tokens").alias("tokens"), F.first("shared").alias("shared"))
+    rows = signed.where("n > 0").groupBy("node", "n", "prefix_hash").agg(F.first("tokens").alias("tokens"), F.first("shared").alias("shared"), F.first("odd").alias("odd"))
     classes = shared.keep(rows.where(F.size("tokens") > 0), "classes")
     plain = classes.select("node", "n", "prefix_hash")
     groups = plain.groupBy("n", "prefix_hash").agg(F.min("node").alias("group"))
@@ -161,28 +175,38 @@ def similar_classes(signed: DataFrame, percent: int = 75) -> DataFrame:
     heads = classes.join(members.where("node = `group`").select("node"), "node")
     lists = shared.keep(heads.select(F.col("node").alias("group"), "n", F.explode("tokens").alias("token")).distinct(), "lists")
 
-    first = lists.groupBy("token").agg(F.min(F.struct("n", "group")).alias("head"), F.count("*").alias("k")).where("k > 1")
-    stars = lists.join(first, "token").where((F.col("group") != F.col("head.group")) & _fits("n", "head.n", percent))
-    stars = stars.select(F.col("head.group").alias("a"), F.col("group").alias("b")).distinct()
-    inner = members.where("node <> `group`").select(F.col("group").alias("a"), F.col("node").alias("b"))
-    sets = classes.select("node", "n", "shared")
-    links = shared.keep(verify(stars.unionByName(inner), sets, percent), "links")
-    found = shared.keep(connected_components(links), "components")
-
-    named = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    spread = lists.select("token", "group").join(named, "group").select("token", "node", "n", "component")
-    open_ = spread.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
-    spread = shared.keep(spread.join(open_, "token"), "open-lists")
+    sets = classes.select("node", "n", "shared", "odd")
+    found = shared.keep(members.select("node", F.col("node").alias("component")), "components")
+    most, before = lists.count(), float("inf")
+    for turn in range(ROUNDS + 1):
+        spread = lists.select("token", "group").join(members, "group").join(found, "node").select("token", "node", "n", "component")
+        open_ = spread.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
+        spread = shared.keep(spread.join(open_, "token"), "open-lists")
+        cells = spread.groupBy("token", "component").count().groupBy("token").agg(F.sum("count").alias("k"), F.sum(F.col("count").cast("double") * F.col("count")).alias("kk"))
+        across = cells.agg(F.coalesce(F.sum((F.col("k").cast("double") * F.col("k") - F.col("kk")) / 2), F.lit(0.0))).first()[0]
+        # few enough for the entries of the lists, or no fewer than the round before
+        if turn == ROUNDS or 20 * across <= most or across > 0.9 * before:
+            break
+        before = across
+        # each list has some heads, of few drawn anew for each round; only what lies in other components is compared with them
+        drawn = [F.min(F.struct(F.xxhash64("node", F.lit(turn * DRAWS + k), F.pmod("token", F.lit(HEADS))).alias("draw"), "node", "n", "component")) for k in range(DRAWS)]
+        heads_of = spread.groupBy("token").agg(F.array(*drawn).alias("heads")).select("token", F.explode("heads").alias("head"))
+        stars = spread.join(heads_of, "token").where((F.col("component") != F.col("head.component")) & _fits("n", "head.n", percent))
+        links = verify(stars.select(F.col("head.node").alias("a"), F.col("node").alias("b")).distinct(), sets, percent)
+        known = found.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        named = connected_components(links.unionByName(known))
+        found = shared.keep(members.select("node").join(named, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "components")
+
     sides = spread.groupBy("token", "component").agg(F.min("n").alias("small"), F.max("n").alias("large"))
     other = sides.select("token", *[F.col(c).alias(f"{c}_2") for c in ("component", "small", "large")])
     may = (F.col("component") < F.col("component_2")) & (100 * F.col("large_2") >= percent * F.col("small")) & (100 * F.col("large") >= percent * F.col("small_2"))
-    across = sides.join(other, "token").where(may).select("token", "component", "component_2")
+    apart = sides.join(other, "token").where(may).select("token", "component", "component_2")
     left = spread.select("token", "component", F.col("node").alias("x"), F.col("n").alias("n_x"))
     right = spread.select("token", F.col("component").alias("component_2"), F.col("node").alias("y"), F.col("n").alias("n_y"))
-    rest = across.join(left, ["token", "component"]).join(right, ["token", "component_2"]).where(_fits("n_x", "n_y", percent))
+    rest = apart.join(left, ["token", "component"]).join(right, ["token", "component_2"]).where(_fits("n_x", "n_y", percent))
     rest = rest.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
     more = verify(rest, sets, percent).unionByName(found.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")))
-    return shared.keep(connected_components(more), "components")
+    return connected_components(more)
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, doc_id: str = "doc_id") -> DataFrame:
