@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 
 from . import shared
@@ -82,7 +83,7 @@ def map_arrays(uri: str, *dtypes) -> list[np.ndarray]:
 
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = 6 << 20):
     """Runs of rows of `batch` with about `limit` bytes of text each."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_numpy(zero_copy_only=False)
     part = np.cumsum(sizes) // limit
     edges = np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1, [batch.num_rows]))
     for a, b in zip(edges[:-1], edges[1:]):
