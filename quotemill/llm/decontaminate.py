@@ -2,16 +2,18 @@
 
 Benchmark items are TF-IDF passages over their own vocabulary, with the document
 frequencies of the whole corpus. A randomised SVD, its products summed over partitions,
-gives a latent space; documents are cut into windows of words, as long as the items of a
-length class, and searched by cosine with the items in that space, taken against the item's own
-cosine there. Candidates are then compared word by word: the
-longest common subsequence with the item, and that of the item's answer (what follows
-the last "Answer:", else its last fifth).
+gives a latent space. An item of over PASSAGE words is cut into overlapping passages of 64 words;
+documents are cut into windows of words, as long as the passages of a length class, and searched
+by cosine with the passages in that space, taken against the passage's own cosine there. The
+gate follows from `similar` and the lengths (see `gates`), with `cosine` as its upper limit.
+Candidates are then compared word by word with the whole item: the longest common subsequence,
+and that of the item's answer (what follows the last "Answer:", else its last fifth). A copy
+spread thin by other text between its words can lie below the gate in every window.
 
 A match has lcs >= `accept`, or lcs >= `similar` and the answer found. Words are runs of
 letters and digits of the lower-cased text. A null or empty text, or an item without
 words, matches nothing; repeated rows match alike. The benchmark goes to the workers in
-blocks of at most `block` items, each a pass of its own over the documents.
+blocks of about `block` passages, each a pass of its own over the documents.
 """
 
 from __future__ import annotations
@@ -29,9 +31,15 @@ from .textcore import plain_words, sorted_counts
 
 DF_BITS = 14
 STRIDE = 8
-#: Words of a window (a power of 2 of strides) by the largest number of words of an item.
-WINDOWS = ((18, 16), (44, 32), (1 << 30, 64))
+#: Longest passage; longer items are cut into passages of 64 words, each half over the next.
+PASSAGE, CUT = 90, 64
+#: Words of a window (a power of 2 of strides) by the largest number of words of a passage.
+WINDOWS = ((22, 16), (45, 32), (PASSAGE, 64))
+#: Least rank of the latent space; it grows with the root of the number of passages.
 LATENT = 40
+#: Part of the expected cosine of a copy that the gate asks for: its words' idf differ.
+SLACK = 0.8
+CELLS = 1 << 22
 
 
 def _normal(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -75,6 +83,29 @@ class Index:
     latent: np.ndarray
     items: np.ndarray
     idf: np.ndarray
+    lengths: np.ndarray
+    item_of: np.ndarray
+
+
+def _passages(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words and their number in the passages of all items, and each passage's item."""
+    starts, sizes, owner = [], [], []
+    for i, (b, n) in enumerate(zip(np.cumsum(counts).tolist(), counts.tolist())):
+        own = [0] if n <= PASSAGE else [*range(0, n - CUT, CUT // 2), n - CUT]
+        if n:
+            starts += [b - n + k for k in own]
+            sizes += [min(n, CUT) if n > PASSAGE else n] * len(own)
+            owner += [i] * len(own)
+    sizes = np.array(sizes, np.int64)
+    at = np.repeat(np.array(starts, np.int64) - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+    return words[at], sizes, np.array(owner, np.int64)
+
+
+def gates(lengths: np.ndarray, width: int, similar: float, cosine: float) -> np.ndarray:
+    """Least cosine by a passage's length: what a copy with a share `similar` of its words has, at the worst place between strides."""
+    apart = np.abs(lengths - width)
+    overlap = np.maximum(np.minimum(lengths, width) - np.maximum(STRIDE - apart, 0) // 2, 1)
+    return np.minimum(cosine, SLACK * similar * overlap / np.sqrt(lengths * width)).astype(np.float32)
 
 
 def _rows(words: np.ndarray, counts: np.ndarray, vocabulary: np.ndarray, idf: np.ndarray):
@@ -87,7 +118,7 @@ def _rows(words: np.ndarray, counts: np.ndarray, vocabulary: np.ndarray, idf: np
 
 
 def latent_space(items: DataFrame, vocabulary: np.ndarray, idf: np.ndarray, rank: int = LATENT, seed: int = 3) -> np.ndarray:
-    """Right singular vectors (words x rank) of the items' TF-IDF matrix by a randomised SVD; partitions sum the products."""
+    """Right singular vectors (words x rank) of the passages' TF-IDF matrix by a randomised SVD; partitions sum the products."""
     m = len(vocabulary)
     width = min(rank + 16, m)
     probe = np.random.default_rng(seed).standard_normal((m, width)).astype(np.float32)
@@ -97,7 +128,7 @@ def latent_space(items: DataFrame, vocabulary: np.ndarray, idf: np.ndarray, rank
             total: dict[int, np.ndarray] = {}
             inner = np.zeros((width, width))
             for batch in batches:
-                for at, x in _rows(*_normal(batch.column(0)), vocabulary, idf):
+                for at, x in _rows(*_passages(*_normal(batch.column(0)))[:2], vocabulary, idf):
                     y = x @ right[at]
                     if gram:
                         inner += np.outer(y, y)
@@ -107,8 +138,11 @@ def latent_space(items: DataFrame, vocabulary: np.ndarray, idf: np.ndarray, rank
             found = list(enumerate(inner)) if gram else sorted(total.items())
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int64()), pa.array([v.tolist() for _, v in found], pa.list_(pa.float64()))], names=["feature", "y"])
 
-        rows = items.select("text").mapInArrow(multiply, "feature long, y array<double>").groupBy("feature")
-        summed = rows.agg(F.array(*[F.sum(F.col("y")[k]) for k in range(width)]).alias("y")).toArrow() if width <= 64 else rows.applyInArrow(_add, "feature long, y array<double>").toArrow()
+        rows = items.select("text").mapInArrow(multiply, "feature long, y array<double>")
+        if width <= 64:
+            summed = rows.groupBy("feature").agg(F.array(*[F.sum(F.col("y")[k]) for k in range(width)]).alias("y")).toArrow()
+        else:
+            summed = rows.groupBy(F.pmod("feature", F.lit(64))).applyInArrow(_add, "feature long, y array<double>").toArrow()
         out = np.zeros((width if gram else m, width))
         out[summed.column("feature").to_numpy()] = np.array(summed.column("y").to_pylist()).reshape(summed.num_rows, width)
         return out
@@ -120,8 +154,11 @@ def latent_space(items: DataFrame, vocabulary: np.ndarray, idf: np.ndarray, rank
 
 
 def _add(table: pa.Table) -> pa.Table:
-    total = np.sum(np.array(table.column("y").to_pylist()), axis=0)
-    return pa.table({"feature": table.column("feature")[:1], "y": pa.array([total.tolist()], pa.list_(pa.float64()))})
+    features, at = np.unique(table.column("feature").to_numpy(), return_inverse=True)
+    values = table.column("y").combine_chunks().flatten().to_numpy().reshape(len(at), -1)
+    total = np.zeros((len(features), values.shape[1]))
+    np.add.at(total, at, values)
+    return pa.table({"feature": features, "y": pa.array(total.tolist(), pa.list_(pa.float64()))})
 
 
 def build_index(items: DataFrame, idf: np.ndarray) -> Index:
@@ -135,12 +172,14 @@ def build_index(items: DataFrame, idf: np.ndarray) -> Index:
         found = plain_words(pa.array([tail]))[0] if mark else np.zeros(0, np.uint64)
         answers.append(found if len(found) else own[len(own) - max(1, len(own) // 5) :])
     vocabulary, _ = sorted_counts(words)
-    latent = latent_space(items, vocabulary, idf) if len(vocabulary) else np.zeros((0, 1), np.float32)
-    vectors = np.array([x @ latent[at] for at, x in _rows(words, counts, vocabulary, idf)], np.float32).reshape(len(each), latent.shape[1])
-    # an item's own text has the value 1: what the space leaves out of the item is left out of both sides
+    cut, lengths, item_of = _passages(words, counts)
+    rank = max(LATENT, round(4 * len(lengths) ** 0.5))
+    latent = latent_space(items, vocabulary, idf, rank) if len(vocabulary) else np.zeros((0, 1), np.float32)
+    vectors = np.array([x @ latent[at] for at, x in _rows(cut, lengths, vocabulary, idf)], np.float32).reshape(len(lengths), latent.shape[1])
+    # a passage's own text has the value 1: what the space leaves out of it is left out of both sides
     scaled = vectors / np.maximum((vectors * vectors).sum(axis=1, keepdims=True), 1e-9)
     weighted = np.vstack((latent * idf[_bucket(vocabulary)][:, None], np.zeros((1, latent.shape[1])))).astype(np.float32)
-    return Index(rows.column("item_id").to_pylist(), each, answers, vocabulary, weighted, scaled, idf)
+    return Index(rows.column("item_id").to_pylist(), each, answers, vocabulary, weighted, scaled, idf, lengths, item_of)
 
 
 def lcs_length(a: np.ndarray, b: np.ndarray) -> int:
@@ -156,6 +195,22 @@ def lcs_length(a: np.ndarray, b: np.ndarray) -> int:
     return len(a) - row.bit_count()
 
 
+def _hits(index: Index, windows: np.ndarray, passages: np.ndarray, gate: np.ndarray):
+    """(window, item, cosine) of the windows that pass the gate of a passage of the item, in order of the windows."""
+    step, found = max(1, CELLS // len(windows)), []
+    for k in range(0, len(passages), step):
+        some, least = passages[k : k + step], gate[k : k + step]
+        cosines = windows @ index.items[some].T
+        w, p = np.nonzero(cosines >= least)
+        found.append((w, index.item_of[some[p]], cosines[w, p]))
+    w, item, value = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((-value, item, w))
+    w, item, value = w[order], item[order], value[order]
+    first = np.ones(len(w), bool)
+    first[1:] = (w[1:] != w[:-1]) | (item[1:] != item[:-1])
+    return zip(w[first].tolist(), item[first].tolist(), value[first].tolist())
+
+
 def _search(index: Index, words: np.ndarray, counts: np.ndarray, cosine: float, similar: float, accept: float):
     """(row, item, cosine, lcs, answer lcs, first word) of the matches in a batch, the best of each row and item."""
     n_blocks = -(-counts // STRIDE)
@@ -172,7 +227,6 @@ def _search(index: Index, words: np.ndarray, counts: np.ndarray, cosine: float,
     for k in range(1, STRIDE):
         blocks += index.latent[placed[:, k]]
     weights = np.add.reduceat(index.idf[_bucket(words)] ** 2, start)
-    sizes = np.array([len(w) for w in index.words])
     best: dict[tuple[int, int], tuple] = {}
     seen: dict[tuple[int, int], int] = {}
     stamps, stamp = np.zeros(len(index.vocabulary) + 1, np.int64), 0
@@ -186,19 +240,18 @@ def _search(index: Index, words: np.ndarray, counts: np.ndarray, cosine: float,
                 sums[:-have] += sums[have:] * same[:, None]
                 norms[:-have] += norms[have:] * same
             have *= 2
-        items = np.flatnonzero((sizes > low) & (sizes <= most))
+        passages = np.flatnonzero((index.lengths > low) & (index.lengths <= most))
         low = most
-        if not len(items):
+        if not len(passages):
             continue
-        cosines = sums @ index.items[items].T / np.sqrt(np.maximum(norms, 1e-9))[:, None]
-        for hit in np.flatnonzero(cosines >= cosine).tolist():
-            w, i = divmod(hit, len(items))
-            item, row, a = int(items[i]), int(row_of[w]), int(start[w])
+        for w, item, value in _hits(index, sums / np.sqrt(np.maximum(norms, 1e-9))[:, None], passages, gates(index.lengths[passages], width, similar, cosine)):
+            row, a = int(row_of[w]), int(start[w])
             wide, lo, hi = len(index.words[item]), int(ends[row] - counts[row]), int(ends[row])
-            if seen.get((row, item), -1) >= min(hi, a + width):
+            if a <= seen.get((row, item), -1):
                 continue
-            left, right = max(lo, a - wide), min(hi, a + width + wide)
-            seen[row, item] = right
+            # a copy around any window that starts in the next half item lies within these words
+            seen[row, item] = a + wide // 2
+            left, right = max(lo, a - wide), min(hi, a + wide // 2 + width + wide)
             stamp += 1
             stamps[at[left:right]] = stamp
             if (stamps[own[item]] == stamp).sum() < min(accept, similar) * wide:  # no longer subsequence than words in common
@@ -206,7 +259,7 @@ def _search(index: Index, words: np.ndarray, counts: np.ndarray, cosine: float,
             lcs = lcs_length(index.words[item], words[left:right]) / wide
             answer = lcs_length(index.answers[item], words[left:right]) / len(index.answers[item])
             if (lcs >= accept or lcs >= similar and answer >= 0.8) and ((row, item) not in best or best[row, item][1] < lcs):
-                best[row, item] = (float(cosines[w, i]), lcs, answer, a - lo)
+                best[row, item] = (value, lcs, answer, a - lo)
     for (row, item), found in sorted(best.items()):
         yield row, index.ids[item], *found
 
@@ -215,12 +268,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.4, simil
     """doc_id, item_id, cosine, lcs, answer and word (where the window starts) of every match."""
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text"))
-    blocks = max(1, -(-items.count() // block))
+    n_words = F.size(F.split(F.coalesce("text", F.lit("")), r"[\s\p{Punct}]+"))
+    passages = items.agg(F.coalesce(F.sum(F.greatest(F.lit(1), F.ceil(n_words / (CUT // 2)) - 1)), F.lit(0))).first()[0]
+    blocks = max(1, -(-passages // block))
     idf = corpus_idf(docs, text)
     dealt = shared.keep(items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).cast("int")), "items")
     rows, out = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), None
     for k in range(blocks):
-        held = spark.sparkContext.broadcast(build_index(dealt.where(F.col("block") == k), idf))  # of about `block` items
+        held = spark.sparkContext.broadcast(build_index(dealt.where(F.col("block") == k), idf))  # of about `block` passages
 
         def search(batches, held=held):
             for batch in batches:

@@ -201,3 +201,36 @@ def test_licences(spark):
     assert got[3] == ("MIT", "inherited", "a") and got[4] == (None, None, None) and got[6] == ("GPL-3.0", "inherited", "a/vendor")
     assert got[7] == (None, None, None) and got[8] == ("MIT", "inherited", "a") and got[9][:2] == ("CC-BY-NC-4.0", "header") and got[10][1] == "inherited"
     assert license_scan.scan(df).count() == len(files) and license_scan.scan(df.limit(0)).count() == 0
+
+
+def test_leaks_of_long_items(spark):
+    import numpy as np
+
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8))) for _ in range(6000)]
+    words = lambda n: rng.sample(vocabulary[:5900], n) if n > 10 else rng.sample(vocabulary[5900:], n)
+    items = [(k, words(n)) for k, n in enumerate([1, 3, 7, 16, 20, 26, 40, 60, 75, 91, 200, 400, 800, 1200, 1500, 2000])]
+    docs = []
+    for k, item in items:
+        for share in (1, 0.75, 0.6) if len(item) > 10 else (1,):
+            for drop in (False, True):
+                copy = [w if rng.random() < share else None if drop else rng.choice(vocabulary[:5900]) for w in item]
+                docs.append([*words(rng.randint(60, 200)), *[w for w in copy if w], *words(90)])
+    docs += [words(1500) for _ in range(4)]  # without a passage
+    head = [*words(40), *items[-1][1][1900:1970], *words(300), *items[-1][1], *words(50)]  # a fragment some way before the whole
+    docs.append(head)
+    code = {w: i for i, w in enumerate(vocabulary)}
+    ints = lambda x: np.array([code[w] for w in x])
+    want = set()
+    for d, doc in enumerate(docs):
+        for k, item in items:
+            answer = item[len(item) - max(1, len(item) // 5) :]
+            lcs = decontaminate.lcs_length(ints(item), ints(doc)) / len(item)
+            if lcs >= 0.7 or lcs >= 0.5 and decontaminate.lcs_length(ints(answer), ints(doc)) >= 0.8 * len(answer):
+                want.add((d, k))
+    rows = [(d, " ".join(doc), "en", "s", 1) for d, doc in enumerate(docs)]
+    benchmark = spark.createDataFrame([(k, " ".join(x)) for k, x in items], "item_id long, text string")
+    found = decontaminate.find_leaks(documents(spark, rows), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == want
+    assert {r.lcs for r in found if (r.doc_id, r.item_id) == (len(docs) - 1, len(items) - 1)} == {1.0}
+    assert {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(documents(spark, rows), benchmark, block=100).collect()} == want
