@@ -234,3 +234,27 @@ def test_leaks_of_long_items(spark):
     assert {(r.doc_id, r.item_id) for r in found} == want
     assert {r.lcs for r in found if (r.doc_id, r.item_id) == (len(docs) - 1, len(items) - 1)} == {1.0}
     assert {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(documents(spark, rows), benchmark, block=100).collect()} == want
+
+
+def test_licences_across_lines(spark):
+    import textwrap
+
+    wrap = lambda text, mark: "\n".join(mark + x for x in textwrap.wrap(text, 70))
+    T, code = license_scan.TEMPLATES, "\nint main of things and other code without a word on it\n" * 30
+    apache = T["Apache-2.0"][1].replace("You may obtain", "\n\nYou may obtain").replace("Unless", "\n\nUnless")
+    long_line = " ".join(f"word{k}" for k in range(300))
+    files = [
+        (1, "src/en/1", wrap(T["MIT"][1], " * ") + code, "MIT", "header"),
+        (2, "src/en/2", "# Copyright 2020 Some Body\n#\n" + "\n#\n".join(wrap(x, "# ") for x in apache.split("\n\n")) + code, "Apache-2.0", "header"),
+        (3, "src/en/3", code + wrap(T["BSD-3-Clause"][0], "// ") + code, "BSD-3-Clause", "header"),
+        (4, "src/en/4", f"{long_line} {T['GPL-3.0'][1]} {long_line}", "GPL-3.0", "header"),
+        (5, "src/en/5", f"{long_line} {T['CC-BY-4.0'][0]} {long_line}", "CC-BY-4.0", "header"),
+        (6, "full/LICENSE", "MIT License\n\nCopyright (c) 2020 Some Body\n\n" + wrap(T["MIT"][2], ""), "MIT", "file"),
+        (7, "full/x.c", "code", "MIT", "inherited"),
+        (8, "src/de/8", "MIT License\n\nCopyright (c) 2021 Else\n\n" + wrap(T["MIT"][2], ""), "MIT", "file"),
+        (9, "src/xx/9", f"{long_line} the board for licensing met to speak of the source of free things {long_line}", None, None),
+        (10, "bsd/COPYING", "Copyright (c) 2020\n\n" + wrap(T["BSD-3-Clause"][1], ""), "BSD-3-Clause", "file"),
+    ]
+    df = spark.createDataFrame([f[:3] for f in files], "doc_id long, path string, text string")
+    got = {r.doc_id: (r.licence, r.found) for r in license_scan.scan(df).collect()}
+    assert got == {f[0]: f[3:] for f in files}
