@@ -9,7 +9,8 @@ import zstandard
 
 from . import shared
 
-FLUSH = 1 << 22
+#: Hashes that a task holds before it sorts and counts them.
+FLUSH = 1 << 20
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -81,7 +82,7 @@ def map_arrays(uri: str, *dtypes) -> list[np.ndarray]:
     return out
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", limit: int = 6 << 20):
+def slices(batch: pa.RecordBatch, column: str = "text", limit: int = 2 << 20):
     """Runs of rows of `batch` with about `limit` bytes of text each."""
     sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_numpy(zero_copy_only=False)
     part = np.cumsum(sizes) // limit

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 _rng = np.random.Generator(np.random.PCG64(20240117))
 _TABLE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _TABLE[[9, 10, 11, 12, 13, 32]] = 0

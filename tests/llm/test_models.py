@@ -82,12 +82,13 @@ def test_jaccard_join_equals_brute_force(spark):
         texts.append(" ".join(words))
     texts += [" ".join([*[f"r{k}-{j}" for j in range(rng.choice([5, 12, 60]))], *boiler]) for k in range(25)] + ["a b c", "A B C", "a b", " ".join(boiler)] * 2
     rows += [(1000 - k, t, "en", "s", 1) for k, t in enumerate(texts)]
-    got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(documents(spark, rows)).collect()}
+    found = jaccard_join.near_duplicates(documents(spark, rows), links=True).collect()
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in found}
     sets = []
     for r in rows:
         w = WORD.findall(lower(r[1]))
         sets.append({tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set())
-    root = list(range(len(rows)))
+    root, n_links = list(range(len(rows))), [0] * len(rows)
 
     def find(x):
         while root[x] != x:
@@ -98,11 +99,14 @@ def test_jaccard_join_equals_brute_force(spark):
         for y in range(x):
             if sets[x] and 100 * len(sets[x] & sets[y]) >= 75 * len(sets[x] | sets[y]):
                 root[find(x)] = find(y)
+                n_links[x] += 1
+                n_links[y] += 1
     least = {}
     for x, r in enumerate(rows):
         if r[0] is not None:
             least[find(x)] = min(least.get(find(x), r[0]), r[0])
     assert got == {(r[0], len(sets[x]), least.get(find(x))) for x, r in enumerate(rows)}
+    assert sorted((str(r.doc_id), r.n_links) for r in found) == sorted((str(r[0]), n_links[x]) for x, r in enumerate(rows))
     assert jaccard_join.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
