@@ -6,21 +6,26 @@ place, so the windows of one anchor need only be compared with those of anchors
 are followed by the same 200 bytes (the key). Steps:
 
 1. give each anchor its key and the hash of its context, the bytes of all its windows;
-   contexts that occur twice are repeated as a whole, and one of each stands for them;
-2. where a key has different contexts, cut these at the anchor into blocks of 50 bytes,
-   build the suffix array of the blocks (`suffix_groups`) for some keys together, and
-   take the runs of suffixes that share seven blocks; a window holds at least seven, so
-   comparing its bytes within the run settles it exactly;
+   anchors with a key of their own repeat nothing; equal contexts of a key are counted
+   before anything is dealt by key;
+2. cut each context at the anchor into blocks of 50 bytes and build the suffix array of
+   the blocks (`suffix_groups`) for some keys together; a context that occurs twice or
+   more stands there twice. Neighbours in the order that share seven blocks form a run: a
+   window holds at least seven. Inside a run the bytes beside the blocks are ordered too,
+   and what neighbours have in common on both sides tells which windows occur twice;
 3. join the repeated windows to their documents and cut them out.
 
-A key with over `heavy` different contexts isn't sorted in one task: its windows are
-dealt out and counted by hash. Texts count as UTF-8 bytes, null as none; repeated rows
-repeat each other's windows; an empty table gives an empty result.
+A key with over `heavy` different contexts is split by a deeper prefix until none is left:
+its windows are halved by where they start, and each half is keyed by all the bytes that
+its windows share.
+
+Texts count as UTF-8 bytes, whole however long, null as none; null ids are ids like others;
+repeated rows repeat each other's windows; only `doc_id` and `text` are read, so other
+columns may have any name; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -32,7 +37,10 @@ from .suffix_groups import suffix_array
 from .textcore import mix
 
 LENGTH, SPAN, GRAM, BLOCK = 400, 200, 8, 50
-BIN_BYTES = 4 << 20
+#: Blocks that every window holds.
+NEED = LENGTH // BLOCK - 1
+#: Bytes of contexts that are sorted together, and contexts of a key before it is split.
+BIN_BYTES, HEAVY = 3 << 20, 4000
 
 
 def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -53,7 +61,22 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return of[first], first, np.append(first[1:], windows) - 1
 
 
-ANCHORS = "row long, key long, context long, pos int, back int, near int"
+ANCHORS = "id long, row long, key long, context long, pos int, back int, near int"
+
+
+def _digest(data, seed: int) -> int:
+    return xxhash.xxh3_64_intdigest(data, seed) - (1 << 63)
+
+
+def _batch(columns, schema: str) -> pa.RecordBatch:
+    """Columns of plain values as a batch."""
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    names, types = zip(*[x.split() for x in schema.split(", ")])
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, t in zip(columns, types)], names=list(names))
+
+
+def _rows_batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    return _batch(list(zip(*rows)) if rows else [()] * len(schema.split(", ")), schema)
 
 
 def _anchors_of(docs: DataFrame) -> DataFrame:
@@ -61,172 +84,206 @@ def _anchors_of(docs: DataFrame) -> DataFrame:
 
     def find(batches):
         for batch in batches:
-            out = [[] for _ in range(6)]
-            for row, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+            out: list[list] = [[] for _ in range(7)]
+            for i, row, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 text = value.as_buffer()
-                if text is None or text.size < LENGTH:
+                if text.size < LENGTH:
                     continue
                 data = memoryview(text)
                 at, first, last = anchors(np.frombuffer(text, np.uint8))
                 for a, b, c in zip(at.tolist(), first.tolist(), last.tolist()):
-                    out[1].append(xxhash.xxh3_64_intdigest(data[a : a + SPAN]) - (1 << 63))
-                    out[2].append(xxhash.xxh3_64_intdigest(data[b : c + LENGTH], a - b) - (1 << 63))
-                out[0] += [row] * len(at)
-                out[3] += at.tolist()
-                out[4] += (at - first).tolist()
-                out[5] += (at - last).tolist()
-                if len(out[0]) > 200_000:
-                    yield _batch(out)
-                    out = [[] for _ in range(6)]
-            yield _batch(out)
-
-    return docs.select("row", F.col("text").cast("binary").alias("text")).mapInArrow(find, ANCHORS)
-
-
-def _batch(columns: list[list]) -> pa.RecordBatch:
-    kinds = [pa.int64()] * 3 + [pa.int32()] * 3
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["row", "key", "context", "pos", "back", "near"])
+                    out[2].append(_digest(data[a : a + SPAN], 0))
+                    out[3].append(_digest(data[b : c + LENGTH], a - b))
+                out[0] += [i] * len(at)
+                out[1] += [row] * len(at)
+                out[4] += at.tolist()
+                out[5] += (at - first).tolist()
+                out[6] += (at - last).tolist()
+                if len(out[0]) > 50_000:
+                    yield _batch(out, ANCHORS)
+                    out = [[] for _ in range(7)]
+            yield _batch(out, ANCHORS)
+
+    return docs.select("id", "row", F.col("text").cast("binary").alias("text")).mapInArrow(find, ANCHORS)
+
+
+def _orders(group: np.ndarray, beside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of `group` and the bytes `beside`, and how many bytes each has in common with the one before it (-1 across groups)."""
+    wide = np.zeros((len(group), -(-beside.shape[1] // 8) * 8), np.uint8)
+    wide[:, : beside.shape[1]] = beside
+    order = np.lexsort([*wide.view(">u8").astype(np.uint64).T[::-1], group])
+    differ = beside[order[1:]] != beside[order[:-1]]
+    common = np.where(differ.any(axis=1), differ.argmax(axis=1), beside.shape[1])
+    common[group[order[1:]] != group[order[:-1]]] = -1
+    return order, np.concatenate(([-1], common))
+
+
+def _classes(order: np.ndarray, common: np.ndarray, depth: int) -> np.ndarray:
+    """A number for each member, the same for those of a group with the same `depth` bytes."""
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(common < depth)
+    return out
 
 
-def _runs(keys: list, members: list[tuple[int, int, int, bytes]]):
-    """(member, offsets before the anchor) of the repeated windows; `members` are (key, back, near, bytes), each context once."""
+def _repeated(n: list[int], back: np.ndarray, near: np.ndarray, data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(member, offset before the anchor) of the windows that occur twice, ascending."""
     codes: dict[bytes, int] = {}
-    text: list = []
-    owner, block_at = [], []
-    for m, (_, back, near, data) in enumerate(members):
-        lo = back // BLOCK
-        for k in range(-lo, (len(data) - back) // BLOCK):
-            text.append(codes.setdefault(data[back + k * BLOCK : back + (k + 1) * BLOCK], len(codes)))
-            owner.append(m)
-            block_at.append(k)
-        text.append(-1 - m)
-        owner.append(m)
-        block_at.append(None)
-    # terminators are all different and below every block; the last is the smallest
-    last = len(members)
-    text = [x + last + 1 if x >= 0 else -x for x in text]
-    order = suffix_array([*text, 0])[1:]
-    need = LENGTH // BLOCK - 1
-    found: dict[int, set[int]] = {}
-    k = 0
-    while k < len(order):
-        i, run = order[k], [order[k]]
-        want = text[i : i + need]
-        k += 1
-        while k < len(order) and text[order[k] : order[k] + need] == want:
-            run.append(order[k])
-            k += 1
-        if len(run) < 2 or len(want) < need:
-            continue
-        seen: dict[tuple, tuple] = {}
-        for j in run:
-            key, back, near, data = members[owner[j]]
-            start = -BLOCK * block_at[j]
-            for d in range(max(start, near), min(start + BLOCK - 1, back) + 1):
-                piece = (keys[owner[j]], d, data[back - d : back - d + LENGTH])
-                if piece in seen:
-                    other = seen[piece]
-                    found.setdefault(other, set()).add(d)
-                    found.setdefault(owner[j], set()).add(d)
-                else:
-                    seen[piece] = owner[j]
-    return found
-
-
-def _spans(offsets: set[int]) -> list[tuple[int, int]]:
-    """Runs of consecutive offsets as (largest, smallest)."""
-    out: list[list[int]] = []
-    for d in sorted(offsets):
-        if out and d == out[-1][0] + 1:
-            out[-1][0] = d
-        else:
-            out.append([d, d])
-    return [tuple(x) for x in out]
+    text: list[int] = []
+    owner: list[int] = []
+    block: list[int] = []
+    strings = 0
+    for m, (piece, b) in enumerate(zip(data, back.tolist())):
+        lo, hi = -(b // BLOCK), (len(piece) - b) // BLOCK
+        own = [codes.setdefault(piece[k : k + BLOCK], len(codes)) for k in range(b + lo * BLOCK, b + hi * BLOCK, BLOCK)]
+        for _ in range(min(n[m], 2)):
+            strings += 1
+            text += own
+            text.append(-strings)
+            owner += [m] * (len(own) + 1)
+            block += [*range(lo, hi), hi]
+    # terminators are all different and below every block; the last one is the smallest
+    whole = np.array(text, np.int64)
+    whole = np.where(whole >= 0, whole + strings + 1, -whole)
+    order = np.array(suffix_array([*whole.tolist(), 0])[1:], np.int64)
+    ahead = np.concatenate((whole, -np.arange(1, NEED + 1)))
+    alike = np.ones(max(len(order) - 1, 0), bool)
+    for t in range(NEED):
+        alike &= ahead[order[1:] + t] == ahead[order[:-1] + t]
+    # runs of neighbours with the same seven blocks
+    run = np.cumsum(np.concatenate(([True], ~alike)))
+    taken = np.concatenate((alike, [False])) | np.concatenate(([False], alike))
+    at, run = order[taken], run[taken]
+    member, place = np.array(owner, np.int64)[at], np.array(block, np.int64)[at]
+    least, most = np.maximum(0, near[member] + BLOCK * place), np.minimum(BLOCK - 1, back[member] + BLOCK * place)
+    some = least <= most
+    member, place, run, least, most = member[some], place[some], run[some], least[some], most[some]
+    if not len(member):
+        return member, place
+    group = (run * (4 * LENGTH) + place + 2 * LENGTH).astype(np.int64)
+    buffer = np.frombuffer(b"".join(data), np.uint8)
+    starts = np.cumsum([0, *map(len, data[:-1])])[member] + back[member] + BLOCK * place
+    before = buffer[np.maximum(starts[:, None] - np.arange(1, BLOCK), 0)]
+    behind = buffer[np.minimum(starts[:, None] + NEED * BLOCK + np.arange(BLOCK), len(buffer) - 1)]
+    left, right = _orders(group, before), _orders(group, behind)
+    found_member, found_offset = [], []
+    for s in range(BLOCK):  # windows that begin s bytes before the blocks
+        fits = np.flatnonzero((least <= s) & (s <= most))
+        both = (_classes(*left, s) * (len(group) + 1) + _classes(*right, BLOCK - s))[fits]
+        rank = np.argsort(both)
+        same = both[rank[1:]] == both[rank[:-1]]
+        twice = fits[rank[np.concatenate((same, [False])) | np.concatenate(([False], same))]] if len(fits) else fits
+        found_member.append(member[twice])
+        found_offset.append(s - BLOCK * place[twice])
+    found = np.unique(np.concatenate(found_member) * LENGTH + np.concatenate(found_offset))
+    return found // LENGTH, found % LENGTH
 
 
 SPANS = "key long, context long, back int, near int"
+PIECES = "key long, context long, n long, back int, near int, data binary"
 
 
-def _span_batch(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows)) if rows else [()] * 4
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["key", "context", "back", "near"])
-
-
-def _compare(contexts: DataFrame) -> DataFrame:
-    """Repeated windows of contexts (key, context, back, near, data) that are sorted by key within partitions."""
+def _compare(pieces: DataFrame) -> DataFrame:
+    """Repeated windows of `pieces`, each context once but for repeated rows, as runs of offsets."""
+    pieces = pieces.select(*[x.split()[0] for x in PIECES.split(", ")])
+    pieces = pieces.repartition(shared.partitions(pieces.sparkSession), "key").sortWithinPartitions("key", "context")
 
     def bins(batches):
         held, size = [], 0
         for batch in batches:
             for row in zip(*[c.to_pylist() for c in batch.columns]):
-                if size > BIN_BYTES and held and held[-1][0] != row[0]:
+                if held and held[-1][:2] == row[:2]:
+                    continue  # a repeated row gives its contexts twice
+                if size > BIN_BYTES and held[-1][0] != row[0]:
                     yield held
                     held, size = [], 0
                 held.append(row)
-                size += len(row[4])
+                size += len(row[5])
         if held:
             yield held
 
     def compare(batches):
         for held in bins(batches):
-            found = _runs([r[0] for r in held], [(r[0], r[2], r[3], r[4]) for r in held])
-            yield _span_batch([(held[m][0], held[m][1], b, n) for m, offsets in found.items() for b, n in _spans(offsets)])
+            key, context, n, back, near, data = zip(*held)
+            member, offset = _repeated(n, np.array(back), np.array(near), data)
+            first = np.flatnonzero(np.concatenate(([True], (member[1:] != member[:-1]) | (offset[1:] != offset[:-1] + 1)))) if len(member) else member
+            last = np.append(first[1:], len(member)) - 1
+            of = member[first]
+            yield _batch([np.array(key)[of], np.array(context)[of], offset[last].astype(np.int32), offset[first].astype(np.int32)], SPANS)
 
-    return contexts.mapInArrow(compare, SPANS)
+    return pieces.mapInArrow(compare, SPANS)
 
 
-def _compare_heavy(contexts: DataFrame) -> DataFrame:
-    """The same for keys with many contexts: each window is a row, counted by hash."""
+def _cut(docs: DataFrame, contexts: DataFrame) -> DataFrame:
+    """The bytes of contexts (key, context, n, one), read where each first occurs."""
+    asked = F.struct("key", "context", "n", "one.pos", "one.back", "one.near")
+    wanted = contexts.groupBy("one.id", "one.row").agg(F.collect_list(asked).alias("wanted"))
+    texts = docs.select("id", "row", F.col("text").cast("binary").alias("text")).join(wanted, ["id", "row"])
 
-    def windows(batches):
+    def cut(batches):
         for batch in batches:
             rows = []
-            for key, context, back, near, data in zip(*[c.to_pylist() for c in batch.columns]):
-                rows += [(key, context, d, xxhash.xxh3_64_intdigest(data[back - d : back - d + LENGTH]) - (1 << 63)) for d in range(near, back + 1)]
-            cols = list(zip(*rows)) if rows else [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int64()))], names=["key", "context", "back", "window"])
+            for text, asked in zip(batch.column(0), batch.column(1).to_pylist()):
+                data = memoryview(text.as_buffer())
+                rows += [(x["key"], x["context"], x["n"], x["back"], x["near"], bytes(data[x["pos"] - x["back"] : x["pos"] - x["near"] + LENGTH])) for x in asked]
+            yield _rows_batch(rows, PIECES)
 
-    rows = contexts.mapInArrow(windows, "key long, context long, back int, window long")
-    twice = rows.groupBy("key", "back", "window").count().where("count > 1").drop("count")
-    return rows.join(twice, ["key", "back", "window"]).select("key", "context", "back", F.col("back").alias("near"))
+    return texts.select("text", "wanted").mapInArrow(cut, PIECES)
 
 
-def repeated_windows(docs: DataFrame, heavy: int = 4000) -> DataFrame:
-    """(row, spans): for each row with repeated windows, the byte ranges they cover (begin, end), not yet merged."""
-    found = shared.keep(_anchors_of(docs), "anchors")
-    keys = found.groupBy("key").agg(F.count("*").alias("n"), F.min("context").alias("lo"), F.max("context").alias("hi")).where("n > 1")
-    shared_keys = shared.keep(found.join(keys.select("key", (F.col("lo") < F.col("hi")).alias("mixed")), "key"), "shared-anchors")
-    contexts = shared_keys.groupBy("key", "context", "mixed").agg(F.count("*").alias("n"), F.min(F.struct("row", "pos", "back", "near")).alias("one"))
-    contexts = shared.keep(contexts, "contexts")
-    whole = contexts.where("n > 1").select("key", "context", "one.back", "one.near")
+DEEP = "parent long, origin long, lo int, hi int, " + PIECES
 
-    mixed = contexts.where("mixed")
-    sizes = mixed.groupBy("key").agg((F.count("*") > heavy).alias("is_heavy"))
-    wanted = mixed.join(sizes, "key").groupBy("one.row").agg(F.collect_list(F.struct("key", "context", "one.pos", "one.back", "one.near", "is_heavy")).alias("wanted"))
-    texts = docs.select("row", F.col("text").cast("binary").alias("text")).join(wanted, "row")
 
-    def cut(batches):
+def _halved(pieces: DataFrame) -> DataFrame:
+    """Both halves of each piece's windows, which start `lo` to `hi` bytes before the anchor, keyed by the bytes that all windows of a half share."""
+
+    def halve(batches):
         for batch in batches:
-            rows, seen = [], set()
-            for row, text, asked in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
-                data = memoryview(text.as_buffer())
-                for x in asked:
-                    if (mark := (x["key"], x["context"])) not in seen:  # a repeated row comes twice
-                        seen.add(mark)
-                        rows.append((*mark, x["back"], x["near"], bytes(data[x["pos"] - x["back"] : x["pos"] - x["near"] + LENGTH]), x["is_heavy"]))
-            cols = list(zip(*rows)) if rows else [()] * 6
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["key", "context", "back", "near", "data", "is_heavy"])
-
-    pieces = texts.select("row", "text", "wanted").mapInArrow(cut, SPANS + ", data binary, is_heavy boolean").dropDuplicates(["key", "context"])
-    pieces = shared.keep(pieces, "pieces")
-    light = pieces.where("not is_heavy").drop("is_heavy").repartition(shared.partitions(docs.sparkSession), "key").sortWithinPartitions("key", "context")
-    partial = _compare(light).unionByName(_compare_heavy(pieces.where("is_heavy").drop("is_heavy")))
-    # a context that occurs twice is repeated as a whole
-    spans = whole.unionByName(partial.join(whole.select("key", "context"), ["key", "context"], "left_anti"))
-    placed = shared_keys.select("row", "key", "context", "pos").join(spans, ["key", "context"])
-    covered = placed.select("row", (F.col("pos") - F.col("back")).alias("begin"), (F.col("pos") - F.col("near") + LENGTH).alias("end"))
-    return covered.groupBy("row").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
+            rows = []
+            for parent, origin, lo, hi, _, _, n, back, near, data in zip(*[c.to_pylist() for c in batch.columns]):
+                middle = (lo + hi + 1) // 2
+                for a, b in ((lo, middle - 1), (middle, hi)):
+                    last, first = max(near, a), min(back, b)
+                    if last <= first:
+                        core, part = data[back - a : back - b + LENGTH], data[back - first : back - last + LENGTH]
+                        rows.append((parent, origin, a, b, _digest(core, 1 + a * SPAN + b), _digest(part, 1 + first * SPAN + last), n, first, last, part))
+            yield _rows_batch(rows, DEEP)
+
+    return pieces.select(*[x.split()[0] for x in DEEP.split(", ")]).mapInArrow(halve, DEEP)
+
+
+def _split(pieces: DataFrame, heavy: int) -> DataFrame:
+    """Repeated windows of pieces whose keys have too many contexts for one task."""
+    now = pieces.dropDuplicates(["key", "context"]).withColumns({"parent": F.col("key"), "origin": F.col("context"), "lo": F.lit(0), "hi": F.lit(SPAN - 1)})
+    out = None
+    while True:
+        now = shared.keep(_halved(now), "deeper")
+        whole = now.groupBy("key", "context").agg(F.sum("n").alias("n"), F.first(F.struct("back", "near", "data")).alias("one")).select("key", "context", "n", "one.*")
+        sizes = shared.keep(now.groupBy("key", "context").agg(F.sum("n").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("contexts")).where("n > 1"), "sizes")
+        light = whole.join(sizes.where(F.col("contexts") <= heavy).select("key"), "key", "left_semi")
+        spans = _compare(light).join(now.select("key", "context", "parent", "origin"), ["key", "context"])
+        spans = shared.keep(spans.select(F.col("parent").alias("key"), F.col("origin").alias("context"), "back", "near"), "spans")
+        out = spans if out is None else out.unionByName(spans)
+        many = sizes.where(F.col("contexts") > heavy).select("key")
+        if many.isEmpty():
+            return out
+        now = now.join(many, "key", "left_semi")
+
+
+def repeated_windows(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
+    """(id, row, spans): for each row with repeated windows, the byte ranges they cover (begin, end), not yet merged."""
+    found = shared.keep(_anchors_of(docs), "anchors")
+    keys = shared.keep(found.groupBy("key").count().where("count > 1").select("key"), "keys")
+    several = shared.keep(found.join(keys, "key", "left_semi"), "shared-anchors")
+    contexts = several.groupBy("key", "context").agg(F.count("*").alias("n"), F.min(F.struct("id", "row", "pos", "back", "near")).alias("one"))
+    contexts = shared.keep(contexts, "contexts")
+    many = shared.keep(contexts.groupBy("key").count().where(F.col("count") > heavy).select("key"), "heavy-keys")
+    spans = _compare(_cut(docs, contexts.join(many, "key", "left_anti")))
+    if not many.isEmpty():
+        spans = spans.unionByName(_split(_cut(docs, contexts.join(many, "key", "left_semi")), heavy))
+    spans = shared.keep(spans, "spans")
+    placed = several.select("id", "row", "key", "context", "pos").join(spans, ["key", "context"])
+    covered = placed.select("id", "row", (F.col("pos") - F.col("back")).alias("begin"), (F.col("pos") - F.col("near") + LENGTH).alias("end"))
+    return covered.groupBy("id", "row").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
 
 
 def _merged(spans: list) -> list[tuple[int, int]]:
@@ -239,12 +296,13 @@ def _merged(spans: list) -> list[tuple[int, int]]:
     return out
 
 
-def cut_repeats(docs: DataFrame, heavy: int = 4000, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, kept (the remaining bytes), n_bytes, n_removed and spans (maximal removed runs) of every row."""
+def cut_repeats(docs: DataFrame, heavy: int = HEAVY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, kept (the remaining bytes), n_bytes and spans (maximal removed runs) of every row."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.withColumn("row", F.xxhash64("doc_id", "text"))
+    # rows with the same id and text are the same to every step, others differ in id or hash
+    rows = rows.withColumns({"id": F.coalesce("doc_id", F.lit(0)), "row": F.xxhash64("doc_id", "text")})
     spans = repeated_windows(rows, heavy)
-    joined = rows.select("doc_id", F.col("text").cast("binary").alias("text"), "row").join(spans, "row", "left").select("doc_id", "text", "spans")
+    joined = rows.select("id", "row", "doc_id", F.col("text").cast("binary").alias("text")).join(spans, ["id", "row"], "left").select("doc_id", "text", "spans")
 
     def cut(batches):
         for batch in batches:

@@ -2,6 +2,7 @@ import collections
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from quotemill.llm import suffix_dedup
@@ -30,7 +31,7 @@ def brute(texts):
     return out
 
 
-@pytest.mark.parametrize("heavy", [4000, 2])
+@pytest.mark.parametrize("heavy", [4000, 2, 1])
 def test_removal_equals_brute_force(spark, heavy):
     rng = random.Random(4)
     text = lambda n: "".join(rng.choice("abcdé \n") for _ in range(n))
@@ -50,5 +51,21 @@ def test_removal_equals_brute_force(spark, heavy):
     assert got == collections.Counter((r[0], *w) for r, w in zip(rows, want))
 
 
+def test_the_order_decides(monkeypatch):
+    """Without the suffix order no repeat is found; with it just the shared windows are."""
+    rng = random.Random(9)
+    text = lambda n: bytes(rng.randrange(97, 123) for _ in range(n))
+    middle = text(450)
+    data = [text(40) + middle + text(109), text(75) + middle + text(74), text(599), text(599)]
+    back, near = np.array([40 + 25, 75 + 25, 100, 100]), np.array([0, 0, 0, 0])
+    member, offset = suffix_dedup._repeated([1, 1, 1, 2], back, near, data)
+    # windows inside the shared 450 bytes start 25 bytes before the anchor or up to 25 after; offsets after it are none of this anchor's
+    assert {m: sorted(offset[member == m].tolist()) for m in (0, 1, 3)} == {0: list(range(26)), 1: list(range(26)), 3: list(range(101))}
+    assert 2 not in member
+    monkeypatch.setattr(suffix_dedup, "suffix_array", lambda text: [len(text) - 1, *range(len(text) - 1)])
+    member, _ = suffix_dedup._repeated([1, 1, 1, 2], back, near, data)
+    assert not len(member)
+
+
 def test_empty(spark):
     assert suffix_dedup.cut_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
