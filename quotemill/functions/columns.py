@@ -146,9 +146,20 @@ def details_json(**columns: Column) -> Column:
 
 def metadata_int(json: Column | str, *aliases: str) -> Column:
     """The first of the keys with a whole number; booleans and fractions count as absent."""
+    return fields_int(metadata_fields(json), *aliases)
+
+
+def metadata_fields(json: Column | str) -> Column:
+    """The document's keys, parsed once, with the text of their values."""
+    return F.from_json(col(json), "map<string,string>")
+
+
+def fields_int(fields: Column, *aliases: str) -> Column:
+    """`metadata_int` of parsed fields."""
 
     def whole(key: str) -> Column:
-        found = F.coalesce(F.get_json_object(col(json), f"$.{key}.value"), F.get_json_object(col(json), f"$.{key}"))
+        text = F.try_element_at(fields, F.lit(key))
+        found = F.coalesce(F.get_json_object(text, "$.value"), text)
         number = F.when(~F.lower(found).isin("true", "false"), found.try_cast("double"))
         return F.when(number == F.floor(number), number.try_cast("long"))
 

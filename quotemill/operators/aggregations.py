@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.calendar import window_bounds
-from ..functions.columns import col, metadata_int, norm_publisher, norm_symbol, sentiment_value
+from ..functions.columns import col, fields_int, metadata_fields, norm_publisher, norm_symbol, sentiment_value
 
 #: Names under which a run's counts are reported, the canonical one first (fixed values).
 METRIC_KEYS = {
@@ -122,7 +122,8 @@ def series_extents(df: DataFrame, cols: list[str], pad_frac: float, pad_min: flo
 
 def asset_metrics_rollup(events: DataFrame, by: tuple[str, ...] = ("run_id", "job_name", "asset_key"), json: str = "metadata_json") -> DataFrame:
     """Events, reported rows (null when never reported) and changed rows (0 when absent) of each asset."""
-    values = events.select(*by, *[metadata_int(json, *names).alias(k) for k, names in METRIC_KEYS.items()])
+    parsed = events.select(*by, metadata_fields(json).alias("_fields"))
+    values = parsed.select(*by, *[fields_int(F.col("_fields"), *names).alias(k) for k, names in METRIC_KEYS.items()])
     changed = [F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in METRIC_KEYS if k != "row_count"]
     return values.groupBy(*by).agg(F.count("*").alias("assets_materialized_count"), F.sum("row_count").alias("row_count"), *changed)
 

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.columns import dedupe_key
+from ..sources.scratch import scratch_path
 
 BY, ORDER = "asset_id", "trade_date"
 
@@ -131,16 +132,19 @@ def previous_close_delta(df: DataFrame, by: str = BY, order: str = ORDER) -> Dat
 def surrogate_ids(new: DataFrame, existing: DataFrame, id_col: str, order: list[str]) -> DataFrame:
     """Ids for new rows: the largest so far plus a dense sequence in `order`.
 
-    Two levels: rows are ranged by `order`, numbered within their partition and lifted by
-    the counts of the partitions before, so no task holds all rows.
+    Rows are ranged by `order`, numbered within their partition and written once, since a
+    second range exchange would draw other bounds; the table's own counts then lift each
+    partition by those before it, so no task holds all rows.
     """
     spark = new.sparkSession
     top = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_top"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = new.drop(id_col).repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
-    numbered = ranged.withColumn("_n", F.row_number().over(W.partitionBy("_part").orderBy(*order)))
+    path = scratch_path(spark, "numbered")
+    number = F.monotonically_increasing_id()  # the partition from bit 33 on, the row in it below
+    new.drop(id_col).repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_at", number).write.parquet(path)
+    numbered = spark.read.parquet(path).withColumns({"_part": F.shiftright("_at", 33), "_n": F.col("_at") % F.lit(1 << 33) + 1}).drop("_at")
     sizes = numbered.groupBy("_part").agg(F.max("_n").alias("_size"))  # a row for each partition
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("_part", "_before")
+    before = sizes.select("_part", F.coalesce(F.sum("_size").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     joined = numbered.join(F.broadcast(before), "_part").join(F.broadcast(top))
     return joined.withColumn(id_col, (F.col("_top") + F.col("_before") + F.col("_n")).cast("long")).drop("_top", "_before", "_n", "_part")
 

@@ -1,18 +1,19 @@
 """Data-quality and freshness checks. A check turns tables into one row of CHECK_ROW.
 
-Checks over one table that share a suite run in one `agg` per table where their rules
-allow; each is also a function of its own by name, in CHECKS.
+Each is a function by name, in CHECKS; `check_isolation` runs many as one job.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.calendar import is_trading_day
 from ..functions.columns import details_json, norm_symbol
 from ..operators.aggregations import count_distinct_assets, excess_duplicates, null_profile, range_violations
 from ..operators.joins import anti_missing_symbols
@@ -200,14 +201,11 @@ def _blank(c: str) -> Column:
 
 
 def _coverage(tables, run, thresholds):
-    """Active symbols without a price; skipped without a key and on days without trading."""
+    """Active symbols without a price; skipped without a key and on days without trading (weekends, and table `holidays` where it is given)."""
     name = "prices_active_symbol_coverage"
-    try:
-        trading = run.partition_key is not None and date.fromisoformat(run.partition_key).weekday() < 5
-    except ValueError:
-        trading = False
+    key = tables["spark"].range(1).select(F.lit(run.partition_key).cast("string").alias("day"))
     severity = freshness_severity(F.lit(name))
-    if not trading:
+    if not is_trading_day(key, "day", tables.get("holidays")).first()["is_trading_day"]:
         return fixed_row(tables["spark"], run, name, "SKIPPED", None, 0.0, "no trading day", severity)
     active = tables["assets"].where(F.col("is_active") & (F.trim("symbol") != ""))
     missing = missing_symbol_sample(anti_missing_symbols(active, tables["prices"])).withColumnRenamed("missing_count", "measured")
@@ -278,13 +276,25 @@ def check(name: str):
 
 
 def check_isolation(checks: list[str], tables: dict, run: RunInfo, thresholds: dict[str, float] | None = None) -> DataFrame:
-    """Rows of all checks; one that raises becomes a FAIL row and the others still run."""
-    spark, rows = tables["spark"], []
+    """Rows of all checks as one job; one that raises becomes a FAIL row and the others still run (then one by one)."""
+    spark, frames = tables["spark"], []
+    failed = lambda name, e: fixed_row(spark, run, name, "FAIL", None, None, f"{type(e).__name__}: {str(e)[:200]}")
     for name in checks:
         try:
-            rows += CHECKS[name](tables, run, thresholds or {}).collect()  # one row
+            frames.append(CHECKS[name](tables, run, thresholds or {}))
         except Exception as e:  # noqa: BLE001
-            rows += fixed_row(spark, run, name, "FAIL", None, None, f"{type(e).__name__}: {str(e)[:200]}").collect()
+            frames.append(failed(name, e))
+    if not frames:
+        return spark.createDataFrame([], schemas.CHECK_ROW)
+    try:
+        rows = reduce(DataFrame.unionByName, frames).collect()  # one row a check
+    except Exception:  # noqa: BLE001
+        rows = []
+        for name, frame in zip(checks, frames):
+            try:
+                rows += frame.collect()
+            except Exception as e:  # noqa: BLE001
+                rows += failed(name, e).collect()
     return spark.createDataFrame([tuple(r) for r in rows], schemas.CHECK_ROW)
 
 

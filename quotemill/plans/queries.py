@@ -183,14 +183,14 @@ def _(spark, d):
     return R.ingest_assets(X.table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))).where("ingested_ts IS NOT NULL").select("id", "name")
 
 
-@query("schema_probe")
+@query("schema_probe", "SELECT count(*) AS rows, 'ingested_ts,nothing' AS missing FROM bars", (X.BARS,))
 def _(spark, d):
     rows = X.bars(spark, d)
     missing = R.schema_probe(rows, {"asset_id", "ingested_ts", "nothing"})
     return rows.agg(F.count("*").alias("rows")).select("rows", F.lit(",".join(missing)).alias("missing"))
 
 
-@query("table_exists")
+@query("table_exists", "SELECT count(*) AS rows, true AS there, false AS missing_there FROM region")
 def _(spark, d):
     rows = X.table(spark, d, "region")
     return rows.agg(F.count("*").alias("rows")).select("rows", F.lit(R.table_exists(spark, f"{d}/region.parquet")).alias("there"), F.lit(R.table_exists(spark, f"{d}/nothing.parquet")).alias("missing_there"))
@@ -247,12 +247,13 @@ def _(spark, d):
     return M.merge_keep_last(rows.where("event_id % 2 = 0"), rows.where("event_id % 2 = 1"), ["user_id", "event_type"], "event_id")
 
 
-@query("replace_date_slice", "SELECT trade_date, count(*) AS n, round(sum(close), 2) AS total FROM daily WHERE trade_date >= DATE '1998-01-01' AND NOT (trade_date = DATE '1998-03-03' AND asset_id % 2 = 0) GROUP BY 1", (X.DAILY,))
+@query("replace_date_slice", "SELECT CAST(date_trunc('month', trade_date) AS DATE) AS month, count(*) AS n, round(sum(close), 2) AS total FROM daily WHERE NOT (date_trunc('month', trade_date) = DATE '1998-03-01' AND asset_id % 2 = 0) GROUP BY 1", (X.DAILY,))
 def _(spark, d):
-    root, rows = scratch_path(spark, "gold"), X.daily(spark, d).where("trade_date >= DATE '1998-01-01'")
-    rows.write.partitionBy("trade_date").parquet(root)
-    S.replace_date_slice(rows.where("asset_id % 2 = 1"), root, date(1998, 3, 3))
-    return spark.read.parquet(root).groupBy(F.col("trade_date").cast("date").alias("trade_date")).agg(F.count("*").alias("n"), F.round(F.sum("close"), 2).alias("total"))
+    """All of `daily` in slices of a month, one of them replaced."""
+    root, rows = scratch_path(spark, "gold"), X.daily(spark, d).withColumn("month", F.trunc("trade_date", "MM"))
+    rows.repartition("month").write.partitionBy("month").parquet(root)
+    S.replace_date_slice(rows.where("asset_id % 2 = 1"), root, date(1998, 3, 1), "month")
+    return spark.read.parquet(root).groupBy(F.col("month").cast("date").alias("month")).agg(F.count("*").alias("n"), F.round(F.sum("close"), 2).alias("total"))
 
 
 @query("purge_before", "SELECT asset_id, view_date, views FROM views WHERE view_date >= DATE '2024-01-15'", (X.VIEWS,))
@@ -833,7 +834,7 @@ def _(spark, d):
     return X.table(spark, d, "events").select("event_id", C.metadata_int(text, "row_count", "n").alias("v"))
 
 
-@query("check_id")
+@query("check_id", "SELECT count(*) AS rows, count(*) AS ids FROM events")
 def _(spark, d):
     return X.table(spark, d, "events").withColumn("check_id", C.check_id()).agg(F.count("*").alias("rows"), F.countDistinct("check_id").alias("ids"))
 
@@ -967,7 +968,7 @@ def _(spark, d):
     return news.score_sentiment(X.news(spark, d)).select("doc_id", "sentiment")
 
 
-@query("score_sentiment_model")
+@query("score_sentiment_model", "SELECT doc_id, CASE WHEN length(CASE WHEN trim(title) <> '' THEN title ELSE '' END) % 2 = 1 THEN 'positive' ELSE 'negative' END AS sentiment FROM news", (X.NEWS,))
 def _(spark, d):
     """The path of a model: here a scorer that looks at the length."""
 
@@ -1099,10 +1100,52 @@ def _check(name: str):
         return row.select("check_name", "severity", "status", F.round("measured_value", 6).alias("measured_value"), "threshold_value")
 
 
-# those whose rows no table decides come in the suite alone
 for _name in _CHECK_SQL:
     _check(_name)
 
+#: Checks of what tables there are and of their columns: name, severity, measured, threshold, the table, its SQL. The query gives its rows as well.
+_SHAPE_CHECKS = [
+    ("dq_silver_prices_schema_required_columns", "RED", 0.0, 0.0, "silver_prices", "bars", (X.BARS,)),
+    ("dq_silver_prices_schema_range_columns", "YELLOW", 0.0, 0.0, "silver_prices", "bars", (X.BARS,)),
+    ("dq_gold_prices_table_exists", "RED", 1.0, 1.0, "gold_prices", "daily", (X.DAILY,)),
+    ("dq_gold_prices_schema_required_columns", "RED", 0.0, 0.0, "gold_prices", "daily", (X.DAILY,)),
+    ("dq_gold_prices_schema_range_columns", "YELLOW", 0.0, 0.0, "gold_prices", "daily", (X.DAILY,)),
+    ("dq_silver_news_schema_required_columns", "RED", 0.0, 0.0, "silver_news", "news", (X.NEWS,)),
+    ("dq_silver_wikipedia_schema_required_columns", "RED", 0.0, 0.0, "silver_pageviews", "views", (X.VIEWS,)),
+    ("dq_silver_ref_sp500_table_exists", "YELLOW", 1.0, 1.0, "constituents", "constituents", (X.CONSTITUENTS,)),
+    ("dq_silver_ref_sp500_schema_required_columns", "YELLOW", 0.0, 0.0, "constituents", "constituents", (X.CONSTITUENTS,)),
+    ("dq_silver_assets_table_exists", "RED", 1.0, 1.0, "assets", "assets", (X.ASSETS,)),
+    ("dq_silver_assets_schema_required_columns", "RED", 0.0, 0.0, "assets", "assets", (X.ASSETS,)),
+    ("dq_daily_prices_missing_partition", "YELLOW", None, None, "silver_prices", "bars", (X.BARS,)),
+    ("dq_daily_news_missing_partition", "YELLOW", None, None, "silver_news", "news", (X.NEWS,)),
+    ("dq_wikipedia_activity_missing_partition", "YELLOW", None, None, "silver_pageviews", "views", (X.VIEWS,)),
+]
+
+
+def _double(value: float | None) -> str:
+    return f"CAST({'NULL' if value is None else value} AS DOUBLE)"
+
+
+def _shape_sql(name: str, severity: str, measured: float | None, threshold: float | None, table: str) -> str:
+    return f"SELECT '{name}' AS check_name, '{severity}' AS severity, 'PASS' AS status, {_double(measured)} AS measured_value, {_double(threshold)} AS threshold_value, count(*) AS n_rows FROM {table}"
+
+
+def _shape_check(name: str, severity: str, measured: float | None, threshold: float | None, table: str, sql_table: str, with_: tuple[str, ...]):
+    @query(name, _shape_sql(name, severity, measured, threshold, sql_table), with_)
+    def run(spark, d):
+        tables = check_tables(spark, d)
+        row = quality.CHECKS[name](tables, RUN, {}).select("check_name", "severity", "status", "measured_value", "threshold_value")
+        return row.join(F.broadcast(tables[table].agg(F.count("*").alias("n_rows"))))
+
+
+for _shape in _SHAPE_CHECKS:
+    _shape_check(*_shape)
+
+
+@query("dq_active_symbols_source_silver_assets_readable", "SELECT 'dq_active_symbols_source_silver_assets_readable' AS check_name, 'RED' AS severity, CASE WHEN n < 1 THEN 'WARN' ELSE 'PASS' END AS status, CAST(n AS DOUBLE) AS measured_value, CAST(1 AS DOUBLE) AS threshold_value FROM (SELECT count(*) FILTER (is_active AND trim(symbol) <> '') AS n FROM assets)", (X.ASSETS,))
+def _(spark, d):
+    return quality.CHECKS["dq_active_symbols_source_silver_assets_readable"](check_tables(spark, d), RUN, {}).select("check_name", "severity", "status", "measured_value", "threshold_value")
+
 
 @query("dq_severity", "SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'YELLOW' WHEN 1 THEN CASE WHEN o_custkey % 2 = 0 THEN 'YELLOW' ELSE 'RED' END WHEN 2 THEN 'YELLOW' ELSE 'RED' END AS severity FROM orders")
 def _(spark, d):
@@ -1116,7 +1159,29 @@ def _(spark, d):
     return X.table(spark, d, "orders").select("o_orderkey", quality.freshness_severity(name).alias("severity"))
 
 
-@query("check_isolation")
+def _suite_sql() -> tuple[str, tuple[str, ...]]:
+    """The suite's rows: those of the single checks, but for the missing rank list."""
+    parts, tables = [], {}
+    for name in quality.CHECKS:
+        if name.startswith("dq_bronze_tranco_"):
+            measured = 0.0 if name.endswith("_exists") else None
+            parts.append(f"SELECT '{name}' AS check_name, 'YELLOW' AS severity, 'FAIL' AS status, {_double(measured)} AS measured_value")
+            continue
+        if name in _CHECK_SQL:
+            sql, severity, threshold, body, with_ = _CHECK_SQL[name]
+            one_row = sql.format(name=name, severity=severity, threshold=threshold, body=body)
+        elif found := next((x for x in _SHAPE_CHECKS if x[0] == name), None):
+            one_row, with_ = _shape_sql(*found[:4], found[5]), found[6]
+        else:
+            continue
+        parts.append(f"SELECT check_name, severity, status, measured_value FROM ({one_row})")
+        tables |= dict.fromkeys(with_)
+    last = "dq_active_symbols_source_silver_assets_readable"
+    parts.append(f"SELECT '{last}', 'RED', CASE WHEN n < 1 THEN 'WARN' ELSE 'PASS' END, CAST(n AS DOUBLE) FROM (SELECT count(*) FILTER (is_active AND trim(symbol) <> '') AS n FROM assets)")
+    return " UNION ALL ".join(parts), tuple(t for t in tables if not any(t in x for x in tables if x != t))  # some hold others
+
+
+@query("check_isolation", *_suite_sql())
 def _(spark, d):
     """Every check, with one table missing: its checks fail or are skipped, the others run."""
     tables = check_tables(spark, d)
@@ -1125,7 +1190,7 @@ def _(spark, d):
     return out.select("check_name", "severity", "status", F.round("measured_value", 6).alias("measured_value"))
 
 
-@query("write_dq_log")
+@query("write_dq_log", """SELECT 'dq_daily_prices' AS check_name, 'YELLOW' AS severity, 'FAIL' AS status, CAST(count(*) AS DOUBLE) AS measured_value, '{"table":"orders","error_name":"ValueError","error_message":"bad"}' AS details_json FROM orders""")
 def _(spark, d):
     path = scratch_path(spark, "dq-log")
     rows = X.table(spark, d, "orders").count()

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.merges import merge_keep_last
@@ -36,7 +36,8 @@ def sink_compact_month(df: DataFrame, root: str, ts: str = "timestamp", symbol:
 
 
 def sink_news_day(df: DataFrame, root: str, as_of: date, day: str = "date") -> None:
-    _dynamic(df.withColumn(day, F.lit(as_of)).coalesce(max(1, df.sparkSession.sparkContext.defaultParallelism // 2)), root, [day])
+    """Replace a day's news; files are sized by adaptive execution, not by a fixed number."""
+    _dynamic(df.withColumn(day, F.lit(as_of)).hint("rebalance"), root, [day])
 
 
 def sink_merge_keep_last(new: DataFrame, path: str, keys: list[str], seq: str, part: str | None = None) -> DataFrame:
@@ -63,14 +64,13 @@ def replace_date_slice(df: DataFrame, root: str, as_of: date, day: str = "trade_
     deleted = 0
     if table_exists(spark, root):
         deleted = spark.read.parquet(root).where(F.col(day) == F.lit(as_of)).count()
-    rows = df.where(F.col(day) == F.lit(as_of))
-    observed = rows.select(*[c for c in rows.columns if c != day], day)
-    _dynamic(observed, root, [day])
-    count = spark.read.parquet(root).where(F.col(day) == F.lit(as_of)).count() if table_exists(spark, root) else 0
-    if count and rows.isEmpty():
+    seen = Observation()
+    rows = df.where(F.col(day) == F.lit(as_of)).observe(seen, F.count("*").alias("rows"))
+    _dynamic(rows.select(*[c for c in rows.columns if c != day], day), root, [day])
+    count = seen.get.get("rows", 0)  # counted by the write itself
+    if deleted and not count:
         path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{day}={as_of.isoformat()}")
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-        count = 0
     return count, deleted
 
 

@@ -201,6 +201,22 @@ def test_status_updates(spark):
     assert [r.symbol for r in AS.unknown_symbols(base, on).collect()] == ["ZZ"]
 
 
+def test_surrogate_ids_stay_dense_at_scale(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        n = 1_200_000
+        new = spark.range(n).select(F.concat(F.lit("k"), F.xxhash64("id")).alias("symbol"), F.col("id").alias("source_id"))
+        existing = spark.createDataFrame([(7,)], "asset_id long")
+        ids = V.surrogate_ids(new, existing, "asset_id", ["symbol", "source_id"])
+        got = ids.agg(F.countDistinct("asset_id").alias("n"), F.min("asset_id").alias("lo"), F.max("asset_id").alias("hi")).first()
+        assert (got.n, got.lo, got.hi) == (n, 8, n + 7)
+        firsts = ids.orderBy("asset_id").limit(50).select("symbol", "source_id").collect()
+        assert firsts == new.orderBy("symbol", "source_id").limit(50).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_assets_keep_their_ids(spark):
     old = spark.createDataFrame([(7, "x1", "AA", True, "T")], "asset_id long, source_id string, symbol string, is_active boolean, article_title string")
     snapshot = spark.createDataFrame([("x1", "AA2"), ("x3", "CC"), ("x2", "BB")], "id string, symbol string")
@@ -264,6 +280,9 @@ def test_checks(spark):
     assert said("dq_silver_assets_active_symbol_uniqueness").measured_value == 1
     assert said("prices_active_symbol_coverage").status == "FAIL" and '"ZZ"' in said("prices_active_symbol_coverage").details_json
     assert said("prices_active_symbol_coverage", tables, quality.RunInfo("r", "j", "2026-02-14", NOW)).status == "SKIPPED"
+    closed = tables | {"holidays": spark.createDataFrame([(DAY,)], "date date")}
+    assert said("prices_active_symbol_coverage", closed, quality.RunInfo("r", "j", "2026-02-13", NOW)).status == "SKIPPED"
+    assert said("prices_active_symbol_coverage", tables, quality.RunInfo("r", "j", "no day", NOW)).status == "SKIPPED"
     assert said("dq_daily_news_missing_partition", tables, quality.RunInfo("r", "j", None, NOW)).status == "SKIPPED"
     rows = {r.check_name: r for r in quality.check_isolation(["dq_gold_prices_ranges", "dq_silver_prices_ranges", "dq_gold_prices_table_exists"], tables, run).collect()}
     assert [rows[k].status for k in sorted(rows)] == ["FAIL", "FAIL", "PASS"] and "KeyError" in rows["dq_gold_prices_ranges"].details_json
