@@ -1,7 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Benchmark items are TF-IDF passages over their own vocabulary, with the document
-frequencies of the whole corpus. A randomised SVD, its products summed over partitions,
+Benchmark items are TF-IDF passages over their own vocabulary, with the exact document
+frequencies of its words in the whole corpus. A randomised SVD, its products summed over partitions,
 gives a latent space. An item of over PASSAGE words is cut into overlapping passages of 64 words;
 documents are cut into windows of words, as long as the passages of a length class, and searched
 by cosine with the passages in that space, taken against the passage's own cosine there. The
@@ -50,26 +50,32 @@ def _bucket(words: np.ndarray) -> np.ndarray:
     return (words >> np.uint64(64 - DF_BITS)).astype(np.int64)
 
 
-def corpus_idf(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """idf of 2**14 hashed words over all documents; of fixed size."""
+def corpus_idf(docs: DataFrame, vocabulary: np.ndarray, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
+    """idf over all documents of every word of the sorted vocabulary, and of 2**DF_BITS buckets of all other words.
+
+    Other words only lengthen a window: those that share a bucket seem more frequent than
+    they are, which lets more windows through the gate, never fewer.
+    """
+    held, size = docs.sparkSession.sparkContext.broadcast(vocabulary), len(vocabulary)  # of a block of items
 
     def count(batches):
-        total = np.zeros((1 << DF_BITS) + 1, np.int64)
+        total = np.zeros(size + (1 << DF_BITS) + 1, np.int64)
         for batch in batches:
             for part in arrays.slices(batch):
                 words, counts = _normal(part.column(0))
-                keys = (np.repeat(np.arange(len(counts)), counts) << DF_BITS) | _bucket(words)
-                keys = np.sort(keys)
-                keys = keys[np.concatenate(([True], keys[1:] != keys[:-1]))] if len(keys) else keys
-                total[:-1] += np.bincount(keys & ((1 << DF_BITS) - 1), minlength=1 << DF_BITS)
+                found = np.searchsorted(held.value, words)
+                known = np.append(held.value, 0)[found] == words if size else np.zeros(len(words), bool)
+                keys = np.repeat(np.arange(len(counts)), counts) * len(total) + np.where(known & (found < size), found, size + _bucket(words))
+                total += np.bincount(sorted_counts(keys)[0] % len(total), minlength=len(total))
                 total[-1] += len(counts)
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["bucket", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["word", "n"])
 
-    rows = docs.select(F.col(text).alias("text")).mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros((1 << DF_BITS) + 1)
-    out[rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
-    return (np.log((1 + out[-1]) / (1 + out[:-1])) + 0.1).astype(np.float32)
+    rows = docs.select(F.col(text).alias("text")).mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(size + (1 << DF_BITS) + 1)
+    out[rows.column("word").to_numpy()] = rows.column("n").to_numpy()
+    idf = (np.log((1 + out[-1]) / (1 + out[:-1])) + 0.1).astype(np.float32)
+    return idf[:size], idf[size:]
 
 
 @dataclass
@@ -83,6 +89,7 @@ class Index:
     latent: np.ndarray
     items: np.ndarray
     idf: np.ndarray
+    other_idf: np.ndarray
     lengths: np.ndarray
     item_of: np.ndarray
 
@@ -113,7 +120,7 @@ def _rows(words: np.ndarray, counts: np.ndarray, vocabulary: np.ndarray, idf: np
     for one in np.split(words, np.cumsum(counts)[:-1]) if len(counts) else []:
         terms, n = sorted_counts(one)
         at = np.searchsorted(vocabulary, terms)
-        x = n * idf[_bucket(terms)]
+        x = n * idf[at]
         yield at, (x / max(float(np.sqrt((x * x).sum())), 1e-9)).astype(np.float32)
 
 
@@ -161,8 +168,8 @@ def _add(table: pa.Table) -> pa.Table:
     return pa.table({"feature": features, "y": pa.array(total.tolist(), pa.list_(pa.float64()))})
 
 
-def build_index(items: DataFrame, idf: np.ndarray) -> Index:
-    """The index of one block of items (item_id, text)."""
+def build_index(items: DataFrame, docs: DataFrame) -> Index:
+    """The index of one block of items (item_id, text), weighed by the words' frequencies in `docs` (text)."""
     rows = items.orderBy("item_id", "text").toArrow()
     words, counts = _normal(rows.column("text").combine_chunks() if rows.num_rows else pa.array([], pa.string()))
     each = np.split(words, np.cumsum(counts)[:-1]) if len(counts) else []
@@ -172,14 +179,15 @@ def build_index(items: DataFrame, idf: np.ndarray) -> Index:
         found = plain_words(pa.array([tail]))[0] if mark else np.zeros(0, np.uint64)
         answers.append(found if len(found) else own[len(own) - max(1, len(own) // 5) :])
     vocabulary, _ = sorted_counts(words)
+    idf, other = corpus_idf(docs, vocabulary)
     cut, lengths, item_of = _passages(words, counts)
     rank = max(LATENT, round(4 * len(lengths) ** 0.5))
     latent = latent_space(items, vocabulary, idf, rank) if len(vocabulary) else np.zeros((0, 1), np.float32)
     vectors = np.array([x @ latent[at] for at, x in _rows(cut, lengths, vocabulary, idf)], np.float32).reshape(len(lengths), latent.shape[1])
     # a passage's own text has the value 1: what the space leaves out of it is left out of both sides
     scaled = vectors / np.maximum((vectors * vectors).sum(axis=1, keepdims=True), 1e-9)
-    weighted = np.vstack((latent * idf[_bucket(vocabulary)][:, None], np.zeros((1, latent.shape[1])))).astype(np.float32)
-    return Index(rows.column("item_id").to_pylist(), each, answers, vocabulary, weighted, scaled, idf, lengths, item_of)
+    weighted = np.vstack((latent * idf[:, None], np.zeros((1, latent.shape[1])))).astype(np.float32)
+    return Index(rows.column("item_id").to_pylist(), each, answers, vocabulary, weighted, scaled, idf, other, lengths, item_of)
 
 
 def lcs_length(a: np.ndarray, b: np.ndarray) -> int:
@@ -226,7 +234,7 @@ def _search(index: Index, words: np.ndarray, counts: np.ndarray, cosine: float,
     blocks = index.latent[placed[:, 0]]
     for k in range(1, STRIDE):
         blocks += index.latent[placed[:, k]]
-    weights = np.add.reduceat(index.idf[_bucket(words)] ** 2, start)
+    weights = np.add.reduceat(np.where(at < len(index.idf), np.append(index.idf, 0)[at], index.other_idf[_bucket(words)]) ** 2, start)
     best: dict[tuple[int, int], tuple] = {}
     seen: dict[tuple[int, int], int] = {}
     stamps, stamp = np.zeros(len(index.vocabulary) + 1, np.int64), 0
@@ -265,31 +273,30 @@ def _search(index: Index, words: np.ndarray, counts: np.ndarray, cosine: float,
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.4, similar: float = 0.5, accept: float = 0.7, block: int = 5000, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """doc_id, item_id, cosine, lcs, answer and word (where the window starts) of every match."""
+    """doc_id, text_key (hash of the text), item_id, cosine, lcs, answer and word (where the window starts) of every match."""
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text"))
     n_words = F.size(F.split(F.coalesce("text", F.lit("")), r"[\s\p{Punct}]+"))
     passages = items.agg(F.coalesce(F.sum(F.greatest(F.lit(1), F.ceil(n_words / (CUT // 2)) - 1)), F.lit(0))).first()[0]
     blocks = max(1, -(-passages // block))
-    idf = corpus_idf(docs, text)
     dealt = shared.keep(items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).cast("int")), "items")
-    rows, out = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), None
+    rows, out = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text")), None
     for k in range(blocks):
-        held = spark.sparkContext.broadcast(build_index(dealt.where(F.col("block") == k), idf))  # of about `block` passages
+        held = spark.sparkContext.broadcast(build_index(dealt.where(F.col("block") == k), rows))  # of about `block` passages
 
         def search(batches, held=held):
             for batch in batches:
                 for part in arrays.slices(batch, limit=1 << 20):
-                    found = list(_search(held.value, *_normal(part.column(1)), cosine, similar, accept)) if len(held.value.vocabulary) else []
+                    found = list(_search(held.value, *_normal(part.column(2)), cosine, similar, accept)) if len(held.value.vocabulary) else []
                     if found:
                         cols = list(zip(*found))
-                        yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(cols[0])), pa.array(cols[1], pa.int64()), *[pa.array(c, pa.float64()) for c in cols[2:5]], pa.array(cols[5], pa.int64())], names=["doc_id", "item_id", "cosine", "lcs", "answer", "word"])
+                        yield pa.RecordBatch.from_arrays([*[part.column(k).take(pa.array(cols[0])) for k in (0, 1)], pa.array(cols[1], pa.int64()), *[pa.array(c, pa.float64()) for c in cols[2:5]], pa.array(cols[5], pa.int64())], names=["doc_id", "text_key", "item_id", "cosine", "lcs", "answer", "word"])
 
-        one = rows.mapInArrow(search, "doc_id long, item_id long, cosine double, lcs double, answer double, word long")
+        one = rows.mapInArrow(search, "doc_id long, text_key long, item_id long, cosine double, lcs double, answer double, word long")
         out = one if out is None else out.unionByName(one)
     return out
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages found in documents."""
-    return find_leaks(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return find_leaks(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("text_key")
