@@ -1,16 +1,23 @@
 """The corpus pipeline: documents to token files, in five stages.
 
 Each stage takes what the one before kept, as a table in the shared folder. Language ID
-drops texts that are `und` or whose language is unsure; near duplicates keep the document
-with the smallest id of each component (a row without id stays); documents with a
-benchmark passage go; the mix takes each document as often as its source's target asks;
-the last stage writes token files and gives their index.
+drops texts that are `und` or whose language is unsure; of each group of near duplicates
+the row with the smallest id stays; documents with a benchmark passage go; the mix takes
+each document as often as its source's target asks; the last stage writes token files and
+gives their index.
+
+Rows are told apart by id and text together: rows with one id and different texts are
+judged each for itself, a row that repeats both is a copy of the other. A null id is an id
+like others, and the last of its group to stay. A null or empty text has no language, so
+the first stage drops it; given to a later stage it is a duplicate of nothing, leaks
+nothing and has only an end token. Of equal copies any one stays, as they are the same;
+texts are read whole, however long. Other columns are carried along whatever their names.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quotemill.llm import shared
@@ -22,31 +29,48 @@ from quotemill.llm.token_files import default_tokenizer, token_index
 
 #: Least score of a language that is kept.
 LEAST_SCORE = 0.35
+#: What tells rows apart.
+KEY = ["id", "no_id", "text_key"]
+
+
+def _keyed(rows: DataFrame) -> DataFrame:
+    """Add KEY, which joins null ids too, to rows with doc_id and text_key."""
+    return rows.select("*", F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no_id"))
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """Rows of `docs` as one column, with KEY."""
+    text_key = F.xxhash64("text").alias("text_key")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return _keyed(docs.select(row, F.col("doc_id").cast("long").alias("doc_id"), text_key)).drop("doc_id")
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a sure language; without any label to learn from, those with a letter."""
     model = train(docs.where(~in_fold("doc_id")).select("text", "lang"))
-    found = identify(docs, model)
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    found = identify(docs.select(row, "text"), model)
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select("row.*")
 
 
 def duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component."""
-    named = near_duplicates(docs)
-    keep = named.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(keep, "doc_id", "left_semi")
-    # rows that repeat an id are copies of one document, or different texts under one id: one row of each text stays
-    kept = kept.withColumn("_n", F.row_number().over(W.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(*docs.columns)))).where("_n = 1").drop("_n")
-    return kept.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    """One row of each near-duplicate component; texts without words stay."""
+    named = _keyed(near_duplicates(docs))
+    linked = named.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("no_id", "id", "text_key")).alias("one"))
+    keep = shared.keep(linked.select("one.id", "one.no_id", "one.text_key"), "kept")
+    packed = _packed(docs)
+    # rows that repeat id and text are the same document
+    once = packed.join(keep, KEY, "left_semi").groupBy(*KEY).agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    alone = named.where("component IS NULL").select(*KEY).distinct()
+    return once.select("row").unionByName(packed.join(alone, KEY, "left_semi").select("row")).select("row.*")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
-    leaks = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    leaks = _keyed(find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id", "text_key")).select(*KEY).distinct()
+    return _packed(docs).join(shared.keep(leaks, "leaks"), KEY, "left_anti").select("row.*")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +79,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, start, n_tokens and ids_crc32 of every document in the token files."""
+    """doc_id, start, n_tokens and ids_crc32 of every document in the token files, in ascending doc_id order."""
     return token_index(spark, docs, default_tokenizer())
 
 
