@@ -6,6 +6,7 @@ import atexit
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -24,14 +25,33 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def new_path(spark: SparkSession, name: str) -> str:
+_temporary: list[list[str]] = []
+
+
+@contextmanager
+def temporary(spark: SparkSession):
+    """What is put into the shared folder meanwhile is removed at the end, but for what is `lasting`."""
+    _temporary.append([])
+    try:
+        yield
+    finally:
+        for path in _temporary.pop():
+            held = spark._jvm.org.apache.hadoop.fs.Path(path)
+            held.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(held, True)
+
+
+def new_path(spark: SparkSession, name: str, lasting: bool = False) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    owners = _temporary[:-1] if lasting else _temporary
+    if owners:
+        owners[-1].append(path)
+    return path
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
+def keep(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
     """Write `df` to the shared folder and read it again: cuts the lineage, survives lost executors."""
-    path = new_path(df.sparkSession, name)
+    path = new_path(df.sparkSession, name, lasting)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

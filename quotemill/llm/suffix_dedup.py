@@ -19,6 +19,10 @@ A key with over `heavy` different contexts is split by a deeper prefix until non
 its windows are halved by where they start, and each half is keyed by all the bytes that
 its windows share.
 
+With `passage` the same is done for runs of that many words, lower-cased, which must occur
+in two rows of different id or text: `repeats` tells the rows that have one. Nothing is
+removed for that. Words are `[^\\x20\\x09-\\x0D]+`, as 32 bits of their hash.
+
 Texts count as UTF-8 bytes, whole however long, null as none; null ids are ids like others;
 repeated rows repeat each other's windows; only `doc_id` and `text` are read, so other
 columns may have any name; an empty table gives an empty result.
@@ -26,36 +30,75 @@ columns may have any name; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import shared
+from . import arrays, shared
 from .suffix_groups import suffix_array
-from .textcore import mix
+from .textcore import map_texts, mix, word_hashes
 
-LENGTH, SPAN, GRAM, BLOCK = 400, 200, 8, 50
-#: Blocks that every window holds.
-NEED = LENGTH // BLOCK - 1
 #: Bytes of contexts that are sorted together, and contexts of a key before it is split.
 BIN_BYTES, HEAVY = 3 << 20, 4000
+#: Words of a passage that the query tells the repeats of.
+PASSAGE = 51
+
+
+@dataclass(frozen=True)
+class Windows:
+    """Windows of `length` units, anchored in their first `span`, cut into blocks; a unit is a number of bytes."""
+
+    length: int
+    span: int
+    block: int
+    unit: int = 1
+    across: bool = False  # only what occurs in different rows counts
+
+    @property
+    def need(self) -> int:
+        """Blocks that every window holds."""
+        return (self.length - self.block + 1) // self.block
+
+    def cut(self, data, first: int, last: int):
+        return data[first * self.unit : last * self.unit]
+
+
+BYTES = Windows(400, 200, 50)
 
 
-def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words_of(n: int) -> Windows:
+    """Windows of n words (12 at least)."""
+    return Windows(n, n // 2, n // 8, 4, True)
+
+
+def _units(batch: pa.RecordBatch, w: Windows):
+    """Slices of a batch, each with its texts as bytes of units."""
+    for part in arrays.slices(batch):
+        if w.unit == 1:
+            yield part, [memoryview(x.as_buffer()) for x in part.column(part.schema.get_field_index("text"))]
+        else:
+            words, counts = word_hashes(*map_texts(part))
+            raw, ends = memoryview((words >> np.uint64(32)).astype(np.uint32).tobytes()), np.cumsum(counts) * w.unit
+            yield part, [raw[b - n * w.unit : b] for b, n in zip(ends.tolist(), counts.tolist())]
+
+
+def anchors(data: np.ndarray, w: Windows = BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Anchors of a text's windows, and the first and last window of each."""
-    windows = len(data) - LENGTH + 1
+    windows = len(data) // w.unit - w.length + 1
     if windows <= 0:
         return (np.zeros(0, np.int64),) * 3
-    n = windows + SPAN - 1
-    grams = np.lib.stride_tricks.as_strided(data, (n, GRAM), (1, 1)).copy().view(np.uint64).ravel()
+    n = windows + w.span - 1
+    grams = np.lib.stride_tricks.as_strided(data, (n, 8), (w.unit, 1)).copy().view(np.uint64).ravel()
     value = (mix(grams) & np.uint64(0xFFFFFFFF00000000)) | np.arange(n, dtype=np.uint64)
-    padded = np.full(-(-n // SPAN) * SPAN, np.uint64(0xFFFFFFFFFFFFFFFF))
+    padded = np.full(-(-n // w.span) * w.span, np.uint64(0xFFFFFFFFFFFFFFFF))
     padded[:n] = value
-    rows = padded.reshape(-1, SPAN)
+    rows = padded.reshape(-1, w.span)
     ahead = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()[:windows]
-    behind = np.minimum.accumulate(rows, axis=1).ravel()[SPAN - 1 : SPAN - 1 + windows]
+    behind = np.minimum.accumulate(rows, axis=1).ravel()[w.span - 1 : w.span - 1 + windows]
     of = (np.minimum(ahead, behind) & np.uint64(0xFFFFFFFF)).astype(np.int64)
     first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
     return of[first], first, np.append(first[1:], windows) - 1
@@ -79,32 +122,28 @@ def _rows_batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return _batch(list(zip(*rows)) if rows else [()] * len(schema.split(", ")), schema)
 
 
-def _anchors_of(docs: DataFrame) -> DataFrame:
+def _anchors_of(docs: DataFrame, w: Windows) -> DataFrame:
     """Anchors of all rows: `back` and `near` are how far before the anchor its first and last window start."""
 
     def find(batches):
         for batch in batches:
-            out: list[list] = [[] for _ in range(7)]
-            for i, row, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                text = value.as_buffer()
-                if text.size < LENGTH:
-                    continue
-                data = memoryview(text)
-                at, first, last = anchors(np.frombuffer(text, np.uint8))
-                for a, b, c in zip(at.tolist(), first.tolist(), last.tolist()):
-                    out[2].append(_digest(data[a : a + SPAN], 0))
-                    out[3].append(_digest(data[b : c + LENGTH], a - b))
-                out[0] += [i] * len(at)
-                out[1] += [row] * len(at)
-                out[4] += at.tolist()
-                out[5] += (at - first).tolist()
-                out[6] += (at - last).tolist()
-                if len(out[0]) > 50_000:
-                    yield _batch(out, ANCHORS)
-                    out = [[] for _ in range(7)]
-            yield _batch(out, ANCHORS)
-
-    return docs.select("id", "row", F.col("text").cast("binary").alias("text")).mapInArrow(find, ANCHORS)
+            for part, texts in _units(batch, w):
+                out: list[list] = [[] for _ in range(7)]
+                for i, row, data in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), texts):
+                    if len(data) < w.length * w.unit:
+                        continue
+                    at, first, last = anchors(np.frombuffer(data, np.uint8), w)
+                    for a, b, c in zip(at.tolist(), first.tolist(), last.tolist()):
+                        out[2].append(_digest(w.cut(data, a, a + w.length - w.span), 0))
+                        out[3].append(_digest(w.cut(data, b, c + w.length), a - b))
+                    out[0] += [i] * len(at)
+                    out[1] += [row] * len(at)
+                    out[4] += at.tolist()
+                    out[5] += (at - first).tolist()
+                    out[6] += (at - last).tolist()
+                yield _batch(out, ANCHORS)
+
+    return docs.select("id", "row", "text").mapInArrow(find, ANCHORS)
 
 
 def _orders(group: np.ndarray, beside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,66 +164,78 @@ def _classes(order: np.ndarray, common: np.ndarray, depth: int) -> np.ndarray:
     return out
 
 
-def _repeated(n: list[int], back: np.ndarray, near: np.ndarray, data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _repeated(n: list[int], owners: list[int], back: np.ndarray, near: np.ndarray, data: list[bytes], w: Windows = BYTES) -> tuple[np.ndarray, np.ndarray]:
     """(member, offset before the anchor) of the windows that occur twice, ascending."""
     codes: dict[bytes, int] = {}
     text: list[int] = []
     owner: list[int] = []
-    block: list[int] = []
-    strings = 0
+    place: list[int] = []
+    by: list[int] = []
+    block = w.block * w.unit
     for m, (piece, b) in enumerate(zip(data, back.tolist())):
-        lo, hi = -(b // BLOCK), (len(piece) - b) // BLOCK
-        own = [codes.setdefault(piece[k : k + BLOCK], len(codes)) for k in range(b + lo * BLOCK, b + hi * BLOCK, BLOCK)]
-        for _ in range(min(n[m], 2)):
-            strings += 1
+        lo, hi = -(b // w.block), (len(piece) // w.unit - b) // w.block
+        own = [codes.setdefault(piece[k : k + block], len(codes)) for k in range(b * w.unit + lo * block, b * w.unit + hi * block, block)]
+        for copy in range(min(n[m], 2)):
+            by.append(owners[m] ^ copy if w.across else len(by))  # a second copy stands for another row
             text += own
-            text.append(-strings)
-            owner += [m] * (len(own) + 1)
-            block += [*range(lo, hi), hi]
+            text.append(-len(by))
+            owner += [len(by) - 1] * (len(own) + 1)
+            place += [*range(lo, hi), hi]
+    copies = np.repeat(np.arange(len(data)), np.minimum(n, 2))
     # terminators are all different and below every block; the last one is the smallest
     whole = np.array(text, np.int64)
-    whole = np.where(whole >= 0, whole + strings + 1, -whole)
+    whole = np.where(whole >= 0, whole + len(by) + 1, -whole)
     order = np.array(suffix_array([*whole.tolist(), 0])[1:], np.int64)
-    ahead = np.concatenate((whole, -np.arange(1, NEED + 1)))
+    ahead = np.concatenate((whole, -np.arange(1, w.need + 1)))
     alike = np.ones(max(len(order) - 1, 0), bool)
-    for t in range(NEED):
+    for t in range(w.need):
         alike &= ahead[order[1:] + t] == ahead[order[:-1] + t]
-    # runs of neighbours with the same seven blocks
+    # runs of neighbours with the same blocks
     run = np.cumsum(np.concatenate(([True], ~alike)))
     taken = np.concatenate((alike, [False])) | np.concatenate(([False], alike))
     at, run = order[taken], run[taken]
-    member, place = np.array(owner, np.int64)[at], np.array(block, np.int64)[at]
-    least, most = np.maximum(0, near[member] + BLOCK * place), np.minimum(BLOCK - 1, back[member] + BLOCK * place)
+    string, at = np.array(owner, np.int64)[at], np.array(place, np.int64)[at]
+    member = copies[string]
+    least, most = np.maximum(0, near[member] + w.block * at), np.minimum(w.block - 1, back[member] + w.block * at)
     some = least <= most
-    member, place, run, least, most = member[some], place[some], run[some], least[some], most[some]
+    string, member, at, run, least, most = string[some], member[some], at[some], run[some], least[some], most[some]
     if not len(member):
-        return member, place
-    group = (run * (4 * LENGTH) + place + 2 * LENGTH).astype(np.int64)
+        return member, at
+    group, of = run * (4 * w.length) + at + 2 * w.length, np.array(by, np.int64)[string]
     buffer = np.frombuffer(b"".join(data), np.uint8)
-    starts = np.cumsum([0, *map(len, data[:-1])])[member] + back[member] + BLOCK * place
-    before = buffer[np.maximum(starts[:, None] - np.arange(1, BLOCK), 0)]
-    behind = buffer[np.minimum(starts[:, None] + NEED * BLOCK + np.arange(BLOCK), len(buffer) - 1)]
+    starts = np.cumsum([0, *map(len, data[:-1])])[member] + (back[member] + w.block * at) * w.unit
+    tail = w.length - w.need * w.block
+    before = buffer[np.maximum(starts[:, None] - np.arange(1, (w.block - 1) * w.unit + 1), 0)]
+    behind = buffer[np.minimum(starts[:, None] + w.need * block + np.arange(tail * w.unit), len(buffer) - 1)]
     left, right = _orders(group, before), _orders(group, behind)
     found_member, found_offset = [], []
-    for s in range(BLOCK):  # windows that begin s bytes before the blocks
+    for s in range(w.block):  # windows that begin s units before the blocks
         fits = np.flatnonzero((least <= s) & (s <= most))
-        both = (_classes(*left, s) * (len(group) + 1) + _classes(*right, BLOCK - s))[fits]
+        if not len(fits):
+            continue
+        both = (_classes(*left, s * w.unit) * (len(group) + 1) + _classes(*right, (tail - s) * w.unit))[fits]
         rank = np.argsort(both)
-        same = both[rank[1:]] == both[rank[:-1]]
-        twice = fits[rank[np.concatenate((same, [False])) | np.concatenate(([False], same))]] if len(fits) else fits
+        fits, new = fits[rank], np.concatenate(([True], both[rank[1:]] != both[rank[:-1]]))
+        first = np.flatnonzero(new)
+        apart = np.minimum.reduceat(of[fits], first) != np.maximum.reduceat(of[fits], first)
+        twice = fits[apart[np.cumsum(new) - 1]]
         found_member.append(member[twice])
-        found_offset.append(s - BLOCK * place[twice])
-    found = np.unique(np.concatenate(found_member) * LENGTH + np.concatenate(found_offset))
-    return found // LENGTH, found % LENGTH
+        found_offset.append(s - w.block * at[twice])
+    found = np.unique(np.concatenate(found_member) * w.length + np.concatenate(found_offset)) if found_member else np.zeros(0, np.int64)
+    return found // w.length, found % w.length
 
 
 SPANS = "key long, context long, back int, near int"
-PIECES = "key long, context long, n long, back int, near int, data binary"
+PIECES = "key long, context long, n long, owner long, back int, near int, data binary"
+
 
+def _names(schema: str) -> list[str]:
+    return [x.split()[0] for x in schema.split(", ")]
 
-def _compare(pieces: DataFrame) -> DataFrame:
+
+def _compare(pieces: DataFrame, w: Windows) -> DataFrame:
     """Repeated windows of `pieces`, each context once but for repeated rows, as runs of offsets."""
-    pieces = pieces.select(*[x.split()[0] for x in PIECES.split(", ")])
+    pieces = pieces.select(*_names(PIECES))
     pieces = pieces.repartition(shared.partitions(pieces.sparkSession), "key").sortWithinPartitions("key", "context")
 
     def bins(batches):
@@ -197,15 +248,17 @@ def _compare(pieces: DataFrame) -> DataFrame:
                     yield held
                     held, size = [], 0
                 held.append(row)
-                size += len(row[5])
+                size += len(row[-1])
         if held:
             yield held
 
     def compare(batches):
         for held in bins(batches):
-            key, context, n, back, near, data = zip(*held)
-            member, offset = _repeated(n, np.array(back), np.array(near), data)
-            first = np.flatnonzero(np.concatenate(([True], (member[1:] != member[:-1]) | (offset[1:] != offset[:-1] + 1)))) if len(member) else member
+            key, context, n, owner, back, near, data = zip(*held)
+            member, offset = _repeated(n, owner, np.array(back), np.array(near), data, w)
+            if not len(member):
+                continue
+            first = np.flatnonzero(np.concatenate(([True], (member[1:] != member[:-1]) | (offset[1:] != offset[:-1] + 1))))
             last = np.append(first[1:], len(member)) - 1
             of = member[first]
             yield _batch([np.array(key)[of], np.array(context)[of], offset[last].astype(np.int32), offset[first].astype(np.int32)], SPANS)
@@ -213,19 +266,19 @@ def _compare(pieces: DataFrame) -> DataFrame:
     return pieces.mapInArrow(compare, SPANS)
 
 
-def _cut(docs: DataFrame, contexts: DataFrame) -> DataFrame:
+def _cut(docs: DataFrame, contexts: DataFrame, w: Windows) -> DataFrame:
     """The bytes of contexts (key, context, n, one), read where each first occurs."""
-    asked = F.struct("key", "context", "n", "one.pos", "one.back", "one.near")
+    asked = F.struct("key", "context", "n", F.col("one.row").alias("owner"), "one.pos", "one.back", "one.near")
     wanted = contexts.groupBy("one.id", "one.row").agg(F.collect_list(asked).alias("wanted"))
-    texts = docs.select("id", "row", F.col("text").cast("binary").alias("text")).join(wanted, ["id", "row"])
+    texts = docs.select("id", "row", "text").join(wanted.hint("merge"), ["id", "row"])
 
     def cut(batches):
         for batch in batches:
-            rows = []
-            for text, asked in zip(batch.column(0), batch.column(1).to_pylist()):
-                data = memoryview(text.as_buffer())
-                rows += [(x["key"], x["context"], x["n"], x["back"], x["near"], bytes(data[x["pos"] - x["back"] : x["pos"] - x["near"] + LENGTH])) for x in asked]
-            yield _rows_batch(rows, PIECES)
+            for part, texts in _units(batch, w):
+                rows = []
+                for data, asked in zip(texts, part.column(1).to_pylist()):
+                    rows += [(x["key"], x["context"], x["n"], x["owner"], x["back"], x["near"], bytes(w.cut(data, x["pos"] - x["back"], x["pos"] - x["near"] + w.length))) for x in asked]
+                yield _rows_batch(rows, PIECES)
 
     return texts.select("text", "wanted").mapInArrow(cut, PIECES)
 
@@ -233,34 +286,37 @@ def _cut(docs: DataFrame, contexts: DataFrame) -> DataFrame:
 DEEP = "parent long, origin long, lo int, hi int, " + PIECES
 
 
-def _halved(pieces: DataFrame) -> DataFrame:
-    """Both halves of each piece's windows, which start `lo` to `hi` bytes before the anchor, keyed by the bytes that all windows of a half share."""
+def _halved(pieces: DataFrame, w: Windows) -> DataFrame:
+    """Both halves of each piece's windows, which start `lo` to `hi` units before the anchor, keyed by what all windows of a half share."""
 
     def halve(batches):
         for batch in batches:
             rows = []
-            for parent, origin, lo, hi, _, _, n, back, near, data in zip(*[c.to_pylist() for c in batch.columns]):
+            for parent, origin, lo, hi, _, _, n, owner, back, near, data in zip(*[c.to_pylist() for c in batch.columns]):
                 middle = (lo + hi + 1) // 2
                 for a, b in ((lo, middle - 1), (middle, hi)):
                     last, first = max(near, a), min(back, b)
                     if last <= first:
-                        core, part = data[back - a : back - b + LENGTH], data[back - first : back - last + LENGTH]
-                        rows.append((parent, origin, a, b, _digest(core, 1 + a * SPAN + b), _digest(part, 1 + first * SPAN + last), n, first, last, part))
+                        core, part = w.cut(data, back - a, back - b + w.length), w.cut(data, back - first, back - last + w.length)
+                        rows.append((parent, origin, a, b, _digest(core, 1 + a * w.span + b), _digest(part, 1 + first * w.span + last), n, owner, first, last, part))
             yield _rows_batch(rows, DEEP)
 
-    return pieces.select(*[x.split()[0] for x in DEEP.split(", ")]).mapInArrow(halve, DEEP)
+    return pieces.select(*_names(DEEP)).mapInArrow(halve, DEEP)
 
 
-def _split(pieces: DataFrame, heavy: int) -> DataFrame:
+def _split(pieces: DataFrame, heavy: int, w: Windows) -> DataFrame:
     """Repeated windows of pieces whose keys have too many contexts for one task."""
-    now = pieces.dropDuplicates(["key", "context"]).withColumns({"parent": F.col("key"), "origin": F.col("context"), "lo": F.lit(0), "hi": F.lit(SPAN - 1)})
+    now = pieces.dropDuplicates(["key", "context"]).withColumns({"parent": F.col("key"), "origin": F.col("context"), "lo": F.lit(0), "hi": F.lit(w.span - 1)})
+    apart = (F.max("n") > 1) | (F.min("owner") != F.max("owner"))
+    n = (F.when(apart, 2).otherwise(1) if w.across else F.sum("n")).cast("long").alias("n")
     out = None
     while True:
-        now = shared.keep(_halved(now), "deeper")
-        whole = now.groupBy("key", "context").agg(F.sum("n").alias("n"), F.first(F.struct("back", "near", "data")).alias("one")).select("key", "context", "n", "one.*")
-        sizes = shared.keep(now.groupBy("key", "context").agg(F.sum("n").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("contexts")).where("n > 1"), "sizes")
+        now = shared.keep(_halved(now, w), "deeper")
+        whole = now.groupBy("key", "context").agg(n, F.first(F.struct("owner", "back", "near", "data")).alias("one")).select("key", "context", "n", "one.*")
+        sizes = now.groupBy("key", "context").agg(n).groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("contexts"))
+        sizes = shared.keep(sizes.where("n > 1"), "sizes")
         light = whole.join(sizes.where(F.col("contexts") <= heavy).select("key"), "key", "left_semi")
-        spans = _compare(light).join(now.select("key", "context", "parent", "origin"), ["key", "context"])
+        spans = _compare(light, w).join(now.select("key", "context", "parent", "origin"), ["key", "context"])
         spans = shared.keep(spans.select(F.col("parent").alias("key"), F.col("origin").alias("context"), "back", "near"), "spans")
         out = spans if out is None else out.unionByName(spans)
         many = sizes.where(F.col("contexts") > heavy).select("key")
@@ -269,21 +325,26 @@ def _split(pieces: DataFrame, heavy: int) -> DataFrame:
         now = now.join(many, "key", "left_semi")
 
 
-def repeated_windows(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
-    """(id, row, spans): for each row with repeated windows, the byte ranges they cover (begin, end), not yet merged."""
-    found = shared.keep(_anchors_of(docs), "anchors")
-    keys = shared.keep(found.groupBy("key").count().where("count > 1").select("key"), "keys")
-    several = shared.keep(found.join(keys, "key", "left_semi"), "shared-anchors")
-    contexts = several.groupBy("key", "context").agg(F.count("*").alias("n"), F.min(F.struct("id", "row", "pos", "back", "near")).alias("one"))
-    contexts = shared.keep(contexts, "contexts")
-    many = shared.keep(contexts.groupBy("key").count().where(F.col("count") > heavy).select("key"), "heavy-keys")
-    spans = _compare(_cut(docs, contexts.join(many, "key", "left_anti")))
-    if not many.isEmpty():
-        spans = spans.unionByName(_split(_cut(docs, contexts.join(many, "key", "left_semi")), heavy))
-    spans = shared.keep(spans, "spans")
-    placed = several.select("id", "row", "key", "context", "pos").join(spans, ["key", "context"])
-    covered = placed.select("id", "row", (F.col("pos") - F.col("back")).alias("begin"), (F.col("pos") - F.col("near") + LENGTH).alias("end"))
-    return covered.groupBy("id", "row").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
+def repeated_windows(docs: DataFrame, heavy: int = HEAVY, w: Windows = BYTES) -> DataFrame:
+    """(id, row, spans): for each row with repeated windows, the units they cover (begin, end), not yet merged.
+
+    Joins of what grows with the rows are by sorted shuffles at every size.
+    """
+    with shared.temporary(docs.sparkSession):
+        found = shared.keep(_anchors_of(docs, w), "anchors")
+        keys = shared.keep(found.groupBy("key").count().where("count > 1").select("key"), "keys")
+        several = shared.keep(found.join(keys.hint("merge"), "key", "left_semi"), "shared-anchors")
+        n = F.when(F.min("row") != F.max("row"), 2).otherwise(1).cast("long") if w.across else F.count("*")
+        contexts = several.groupBy("key", "context").agg(n.alias("n"), F.min(F.struct("id", "row", "pos", "back", "near")).alias("one"))
+        contexts = shared.keep(contexts, "contexts")
+        many = shared.keep(contexts.groupBy("key").count().where(F.col("count") > heavy).select("key"), "heavy-keys")
+        spans = _compare(_cut(docs, contexts.join(many, "key", "left_anti"), w), w)
+        if not many.isEmpty():
+            spans = spans.unionByName(_split(_cut(docs, contexts.join(many, "key", "left_semi"), w), heavy, w))
+        spans = shared.keep(spans, "spans")
+        placed = several.select("id", "row", "key", "context", "pos").join(spans.hint("merge"), ["key", "context"])
+        covered = placed.select("id", "row", (F.col("pos") - F.col("back")).alias("begin"), (F.col("pos") - F.col("near") + w.length).alias("end"))
+        return shared.keep(covered.groupBy("id", "row").agg(F.collect_set(F.struct("begin", "end")).alias("spans")), "repeated", lasting=True)
 
 
 def _merged(spans: list) -> list[tuple[int, int]]:
@@ -296,13 +357,18 @@ def _merged(spans: list) -> list[tuple[int, int]]:
     return out
 
 
-def cut_repeats(docs: DataFrame, heavy: int = HEAVY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, kept (the remaining bytes), n_bytes and spans (maximal removed runs) of every row."""
+def cut_repeats(docs: DataFrame, heavy: int = HEAVY, doc_id: str = "doc_id", text: str = "text", passage: int | None = None) -> DataFrame:
+    """doc_id, kept (the remaining bytes), n_bytes and spans (maximal removed runs) of every row, with `passage` also repeats."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     # rows with the same id and text are the same to every step, others differ in id or hash
     rows = rows.withColumns({"id": F.coalesce("doc_id", F.lit(0)), "row": F.xxhash64("doc_id", "text")})
-    spans = repeated_windows(rows, heavy)
-    joined = rows.select("id", "row", "doc_id", F.col("text").cast("binary").alias("text")).join(spans, ["id", "row"], "left").select("doc_id", "text", "spans")
+    told = repeated_windows(rows, heavy)
+    if passage:
+        marked = repeated_windows(rows, heavy, words_of(passage)).select("id", "row", F.lit(True).alias("repeats"))
+        told = told.join(marked.hint("merge"), ["id", "row"], "full")
+    else:
+        told = told.withColumn("repeats", F.lit(False))
+    joined = rows.select("id", "row", "doc_id", F.col("text").cast("binary").alias("text")).join(told.hint("merge"), ["id", "row"], "left").select("doc_id", "text", "spans", F.coalesce("repeats", F.lit(False)).alias("repeats"))
 
     def cut(batches):
         for batch in batches:
@@ -317,15 +383,16 @@ def cut_repeats(docs: DataFrame, heavy: int = HEAVY, doc_id: str = "doc_id", tex
                 sizes.append(len(data))
                 runs.append([{"begin": a, "end": b} for a, b in merged])
             kinds = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(kept, pa.binary()), pa.array(sizes, pa.int64()), pa.array(runs, kinds)], names=["doc_id", "kept", "n_bytes", "spans"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(kept, pa.binary()), pa.array(sizes, pa.int64()), pa.array(runs, kinds), batch.column(3)], names=["doc_id", "kept", "n_bytes", "spans", "repeats"])
 
-    return joined.mapInArrow(cut, "doc_id long, kept binary, n_bytes long, spans array<struct<begin:int,end:int>>")
+    out = joined.mapInArrow(cut, "doc_id long, kept binary, n_bytes long, spans array<struct<begin:int,end:int>>, repeats boolean")
+    return out if passage else out.drop("repeats")
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What of every document stays."""
-    done = cut_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    """What of every document stays, and whether it has over 50 words in a row that another has too."""
+    done = cut_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"), passage=PASSAGE)
     kept = F.col("kept")
-    return done.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length(kept)).cast("long").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2(kept, 256).alias("kept_sha256"))
+    return done.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length(kept)).cast("long").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2(kept, 256).alias("kept_sha256"), "repeats")
 
 

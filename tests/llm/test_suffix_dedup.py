@@ -46,11 +46,32 @@ def test_removal_equals_brute_force(spark, heavy):
     texts += ["a" * 1200, "ab" * 500, text(200) + "a" * 450, parts[0] * 3, text(50) + parts[3][:420] + text(9) + parts[3][100:], "é" * 300]
     rows += [(100 + k, t, "en", "s", 1) for k, t in enumerate(texts)] + [(100, texts[0], "en", "s", 1)]
     want = brute([(r[1] or "").encode() for r in rows])
-    done = suffix_dedup.cut_repeats(documents(spark, rows), heavy=heavy).collect()
+    done = suffix_dedup.cut_repeats(documents(spark, rows), heavy=heavy, passage=20).collect()
     got = collections.Counter((r.doc_id, r.n_bytes, r.n_bytes - len(r.kept), len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in done)
     assert got == collections.Counter((r[0], *w) for r, w in zip(rows, want))
 
 
+@pytest.mark.parametrize("heavy", [4000, 1])
+def test_passages_equal_brute_force(spark, heavy):
+    rng = random.Random(6)
+    words = lambda n: [f"w{rng.randrange(40000)}" for _ in range(n)]
+    parts = [words(n) for n in (50, 51, 52, 80)]
+    texts = [[*words(rng.randrange(90)), *rng.choice(parts), *words(rng.randrange(90))] for _ in range(24)]
+    texts += [parts[1][:50] + words(30), words(20) + parts[1][1:], words(200), ["x"] * 300, ["x"] * 51, ["y"] * 300]
+    inside = words(70)
+    texts.append(inside + words(5) + inside)  # twice in one document only
+    rows = [(k, " \n"[k % 2].join(t).title() if k % 3 else " ".join(t), "en", "s", 1) for k, t in enumerate(texts)] + [(70, None, "en", "s", 1), (71, "", "en", "s", 1)]
+    rows += [rows[26], rows[26]]  # a repeated row is the same document
+    seen = collections.defaultdict(set)
+    for r in rows:
+        w = (r[1] or "").lower().split()
+        for k in range(len(w) - 50):
+            seen[tuple(w[k : k + 51])].add((r[0], r[1]))
+    want = {d for ds in seen.values() if len(ds) > 1 for d, _ in ds}
+    got = suffix_dedup.cut_repeats(documents(spark, rows), heavy=heavy, passage=51).select("doc_id", "repeats").collect()
+    assert len(got) == len(rows) and {r.doc_id for r in got if r.repeats} == want and len(want) > 15
+
+
 def test_the_order_decides(monkeypatch):
     """Without the suffix order no repeat is found; with it just the shared windows are."""
     rng = random.Random(9)
@@ -58,12 +79,12 @@ def test_the_order_decides(monkeypatch):
     middle = text(450)
     data = [text(40) + middle + text(109), text(75) + middle + text(74), text(599), text(599)]
     back, near = np.array([40 + 25, 75 + 25, 100, 100]), np.array([0, 0, 0, 0])
-    member, offset = suffix_dedup._repeated([1, 1, 1, 2], back, near, data)
+    member, offset = suffix_dedup._repeated([1, 1, 1, 2], [0, 1, 2, 3], back, near, data)
     # windows inside the shared 450 bytes start 25 bytes before the anchor or up to 25 after; offsets after it are none of this anchor's
     assert {m: sorted(offset[member == m].tolist()) for m in (0, 1, 3)} == {0: list(range(26)), 1: list(range(26)), 3: list(range(101))}
     assert 2 not in member
     monkeypatch.setattr(suffix_dedup, "suffix_array", lambda text: [len(text) - 1, *range(len(text) - 1)])
-    member, _ = suffix_dedup._repeated([1, 1, 1, 2], back, near, data)
+    member, _ = suffix_dedup._repeated([1, 1, 1, 2], [0, 1, 2, 3], back, near, data)
     assert not len(member)
 
 
