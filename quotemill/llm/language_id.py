@@ -4,12 +4,17 @@ Texts are lower-cased; runs of characters that are no letters become one blank.
 one to three code points are hashed to 2**15 features; a feature weighs
 log(1 + count) * idf, and rows have length 1. The idf covers every training row. The
 weights are fitted by follow-the-regularised-leader with an elastic net on a bounded
-sample (about `sample` rows, an equal number of each language, drawn by hash); a fifth of
-it sets the temperature of the probabilities.
+sample: of each language's different texts with a letter, those with the least hash, and
+no more than `sample` of all languages together. Their features are made where the texts
+lie. Every fifth text of a language sets the temperature of the probabilities.
 
 A text that is null or has no letter is `und` with score 0, as is every text where nothing
-was learned. Languages are the values of the training labels; one language alone gets
-score 1. Repeated rows and an empty table need no special care.
+was learned. Languages are the values of the training labels, MAX_LANGUAGES at most (more
+are refused); one language alone gets score 1; of languages with equal scores the first in
+order is taken. Texts are read whole, however long: they are looked at in pieces, and the
+n-grams across two pieces count like any. Repeated rows weigh in the idf as often as they
+occur and are drawn once; an empty table gives an empty result. Columns named `lang_pred`
+and `score` are replaced, all others are carried along.
 """
 
 from __future__ import annotations
@@ -17,13 +22,13 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import shared
-
 BITS = 15
 DIM = 1 << BITS
+MAX_LANGUAGES = 256
 PIECE = 1 << 20
 _letters: list[np.ndarray] = []
 
@@ -37,26 +42,30 @@ def _is_letter(codes: np.ndarray) -> np.ndarray:
     return out
 
 
-def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+def features(text: str | None, piece: int = PIECE) -> tuple[np.ndarray, np.ndarray]:
     """Features of a text and their counts; none where it has no letter."""
-    found = np.zeros(0, np.int64)
-    for at in range(0, len(text or ""), PIECE):
-        codes = np.frombuffer(text[at : at + PIECE].lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    text = (text or "").lower()
+    found, tail, before, lettered = np.zeros(DIM, np.int64), np.zeros(0, np.uint32), False, False
+    for at in range(0, len(text), piece):
+        codes = np.frombuffer(text[at : at + piece].encode("utf-32-le", "surrogatepass"), np.uint32)
         solid = _is_letter(codes)
-        if not solid.any():
-            continue
-        codes = np.where(solid, codes, 32)
-        codes = np.concatenate(([32], codes[solid | np.concatenate(([False], solid[:-1]))], [32])).astype(np.uint32)
-        grams = []
+        lettered = lettered or bool(solid.any())
+        # of a run without letters the first stands, as a blank, if a letter is before it
+        new = np.where(solid, codes, 32)[solid | np.concatenate(([before], solid[:-1]))]
+        before = bool(solid[-1])
+        ends = ([32] if at == 0 else [], [32] if at + piece >= len(text) else [])
+        codes = np.concatenate((tail, ends[0], new, ends[1])).astype(np.uint32)
         for n in (1, 2, 3):
-            h = np.full(len(codes) - n + 1, n, np.uint32)
-            for k in range(n):
-                h = (h ^ codes[k : len(codes) - n + 1 + k]) * np.uint32(0x9E3779B1)
-                h ^= h >> np.uint32(15)
-            grams.append(h >> np.uint32(32 - BITS))
-        more = np.bincount(np.concatenate(grams), minlength=DIM)
-        found = more if not len(found) else found + more
-    at = np.flatnonzero(found)
+            first = max(0, len(tail) - n + 1)  # those before were counted with the last piece
+            m = len(codes) - n + 1 - first
+            if m > 0:
+                h = np.full(m, n, np.uint32)
+                for k in range(n):
+                    h = (h ^ codes[first + k : first + k + m]) * np.uint32(0x9E3779B1)
+                    h ^= h >> np.uint32(15)
+                found += np.bincount(h >> np.uint32(32 - BITS), minlength=DIM)
+        tail = codes[-2:]
+    at = np.flatnonzero(found) if lettered else np.zeros(0, np.int64)
     return at, found[at]
 
 
@@ -137,31 +146,47 @@ class Model:
 
 
 def train(docs: DataFrame, sample: int = 6000, lang: str = "lang", text: str = "text") -> Model:
-    """Learn from all rows with a language: statistics over all, weights from a sample of about `sample` rows."""
+    """Learn from all rows with a language: statistics over all, weights from a sample of at most `sample` rows (one a language at least)."""
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where(F.col("lang").isNotNull())
-    counts = sorted((r["lang"], r["count"]) for r in rows.groupBy("lang").count().collect())  # a row for each language
-    languages = [k for k, _ in counts]
+    key = F.xxhash64("text", F.lit(11))
+    lettered = rows.where(F.col("text").rlike(r"\p{L}"))
+    counted = rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()  # a row for each language
+    languages = sorted(r["lang"] for r in counted)
+    if len(languages) > MAX_LANGUAGES:
+        raise ValueError(f"over {MAX_LANGUAGES} languages")
     frequencies = document_frequencies(rows.select("text"))
     idf = np.log((1 + frequencies[DIM]) / (1 + frequencies[:DIM])).astype(np.float32) + np.float32(1)
     if not languages:
         return Model([], idf, np.zeros((DIM, 0), np.float32), 1.0)
-    each = sample / len(languages)
-    share = F.create_map(*[x for k, n in counts for x in (F.lit(k), F.lit(min(1.0, each / n)))])[F.col("lang")]
-    key = F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1_000_003)) / 1_000_003.0
-    drawn = rows.withColumn("key", key).where(F.col("key") < share)
+    each = max(1, sample // len(languages))
+    different = {r["lang"]: r["n"] for r in lettered.groupBy("lang").agg(F.countDistinct(key).alias("n")).collect()}  # a row for each language
+    # twice as many as wanted are drawn on average; of those the first are taken
+    share = F.create_map(*[x for k in languages for x in (F.lit(k), F.lit(min(1.0, 2 * each / max(1, different.get(k, 0)))))])[F.col("lang")]
+    drawn = lettered.withColumn("key", F.shiftrightunsigned(key, 11) / float(1 << 53)).where(F.col("key") < share)
+    drawn = drawn.groupBy("lang", "key").agg(F.min("text").alias("text"))
+    drawn = drawn.withColumn("_n", F.row_number().over(W.partitionBy("lang").orderBy("key"))).where(F.col("_n") <= each)
+
+    def featured(batches):
+        for batch in batches:
+            found = [features(v.as_py()) for v in batch.column(2)]
+            lists = [pa.array([x[k] for x in found], pa.list_(pa.int32())) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], names=["lang", "key", "at", "counts"])
 
     def fit(table: pa.Table) -> pa.Table:
-        known = {k: i for i, k in enumerate(languages)}
-        order = np.argsort(table.column("key").to_numpy(), kind="stable")
-        found = [(features(t), known[k], c) for t, k, c in zip(*[[table.column(c)[int(i)].as_py() for i in order] for c in ("text", "lang", "key")])]
-        found = [((f[0], _weigh(*f, idf)), k) for f, k, _ in found if len(f[0])]
-        fitted, checked = [x for i, x in enumerate(found) if i % 5], found[::5]
+        known, table = {k: i for i, k in enumerate(languages)}, table.sort_by([("key", "ascending"), ("lang", "ascending")])
+        fitted, checked, seen = [], [], [0] * len(languages)
+        for lang, at, counts in zip(table.column("lang").to_pylist(), table.column("at"), table.column("counts")):
+            at, counts = at.values.to_numpy().astype(np.int64), counts.values.to_numpy()
+            if len(at):  # every fifth of a language is kept for the temperature
+                seen[known[lang]] += 1
+                (fitted if seen[known[lang]] % 5 else checked).append(((at, _weigh(at, counts, idf)), known[lang]))
         weights = fit_ftrl([r for r, _ in fitted], np.array([k for _, k in fitted], int), len(languages))
         warm = 1.0
         if checked and len(languages) > 1:
             warm = fit_temperature(np.array([x @ weights[at] for (at, x), _ in checked]), np.array([k for _, k in checked]))
         return pa.table({"weights": [weights.tobytes()], "temperature": [warm]})
 
+    drawn = drawn.select("lang", "key", "text").mapInArrow(featured, "lang string, key double, at array<int>, counts array<int>")
     fitted = drawn.groupBy(F.lit(1).alias("all")).applyInArrow(lambda t: fit(t), "weights binary, temperature double").collect()
     if not fitted:
         return Model(languages, idf, np.zeros((DIM, len(languages)), np.float32), 1.0)

@@ -13,7 +13,9 @@ D and D' are the three discounts of counts 1, 2 and 3 or more; g and g' give awa
 they take. A word outside the vocabulary has g' / (V + 1); after an unseen context the
 probability is p(w). Every text ends with one end token and starts in the start context.
 A null or empty text is its end token. Without training rows each token has
-probability 1. Ids are 32-bit: a vocabulary of over 4 thousand million words is refused.
+probability 1. Ids are 32-bit: a vocabulary of over 4 thousand million words is refused;
+counts are 64-bit. Texts are scored whole, however long; repeated rows count and score
+like any; only the id and `text` are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -31,7 +33,8 @@ from . import arrays, shared
 from .textcore import map_texts, sorted_counts, word_hashes
 
 END = np.int64(0x5E0FED0C5E0FED0C)
-SHARD_TOKENS = 4_000_000
+#: Tokens of a shard of bigrams, and words of a shard of the vocabulary (and of its statistics).
+SHARD_TOKENS, SHARD_WORDS = 4_000_000, 2_000_000
 
 
 def held_out(doc_id: str, fold: int = 10, remainder: int = 0) -> Column:
@@ -159,7 +162,7 @@ def _write_vocabulary(counts: DataFrame, path: str) -> list:
             arrays.write_arrays(path, f"part-of-words-{shard:06d}", words, n, np.cumsum(n) - n)
             yield pa.RecordBatch.from_pydict({"shard": [shard], "words": [len(words)], "tokens": [int(n.sum())], "first": [int(words[0])]})
 
-    parts = shared.partitions(counts.sparkSession)
+    parts = max(shared.partitions(counts.sparkSession), counts.count() // SHARD_WORDS)
     dealt = counts.repartitionByRange(parts, "word").sortWithinPartitions("word")
     return sorted(shared.keep(dealt.mapInArrow(write, "shard long, words long, tokens long, first long"), "vocabulary").collect())  # a row for each file
 
@@ -199,14 +202,14 @@ def _merge_pairs(blobs: DataFrame, model: Model) -> DataFrame:
     def merge(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
         keys, counts = arrays.merge_blobs(table)
-        arrays.write_arrays(model.path, f"pairs-{shard:06d}", keys, counts.astype(np.uint32))
+        arrays.write_arrays(model.path, f"pairs-{shard:06d}", keys, counts.astype(np.int64))
         rows = [("shard", shard, b"", b"", b"", b"", b"", [int((counts == k).sum()) for k in (1, 2, 3, 4)] + [len(keys)])]
         v, w = keys >> np.uint64(32), np.sort(keys & np.uint64(0xFFFFFFFF))
         first = np.flatnonzero(np.concatenate(([True], v[1:] != v[:-1])))
-        sums = [np.add.reduceat(x.astype(np.int64), first).astype(np.uint32) for x in (counts, counts == 1, counts == 2, counts > 2)]
+        sums = [np.add.reduceat(x.astype(np.int64), first).astype(np.uint64) for x in (counts, counts == 1, counts == 2, counts > 2)]
         rows += _by_part(model.bases, "context", v[first], sums)
         ids, n = sorted_counts(w)
-        rows += _by_part(model.bases, "word", ids, [n.astype(np.uint32)])
+        rows += _by_part(model.bases, "word", ids, [n.astype(np.uint64)])
         return _stats_table(rows)
 
     return blobs.groupBy("shard").applyInArrow(merge, STATS)
@@ -231,10 +234,10 @@ def _sum_part(table: pa.Table, base: int, size: int) -> dict[str, np.ndarray]:
     for row in table.to_pylist():
         ids = (arrays.unpack(row["ids"], np.uint64).astype(np.int64) - base).clip(0, size)
         if row["kind"] == "word":
-            out["contexts"][ids] += arrays.unpack(row["totals"], np.uint32)
+            out["contexts"][ids] += arrays.unpack(row["totals"], np.uint64).astype(np.int64)
         else:
             for k, c in (("total", "totals"), ("one", "ones"), ("two", "twos"), ("more", "more")):
-                out[k][ids] += arrays.unpack(row[c], np.uint32)
+                out[k][ids] += arrays.unpack(row[c], np.uint64).astype(np.int64)
     return out
 
 
@@ -325,7 +328,7 @@ def _score(model: Model, part: pa.RecordBatch, base_of: float) -> tuple[np.ndarr
     edges = np.concatenate(([0], np.flatnonzero(np.diff(of)) + 1, [len(of)])) if len(of) else np.zeros(1, int)
     for a, b in zip(edges[:-1], edges[1:]):
         if of[a] in model.pairs:
-            pairs, n = model.arrays_of(f"pairs-{of[a]:06d}", np.uint64, np.uint32)
+            pairs, n = model.arrays_of(f"pairs-{of[a]:06d}", np.uint64, np.int64)
             i = np.minimum(np.searchsorted(pairs, asked[a:b]), len(pairs) - 1)
             counts[order[a:b]] = np.where(pairs[i] == asked[a:b], n[i], 0)
     taken = np.maximum(counts - np.array((0, *model.discounts))[np.minimum(counts, 3)], 0)

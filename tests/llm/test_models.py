@@ -5,6 +5,7 @@ import re
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from quotemill.llm import decontaminate, divergence, jaccard_join, language_id, license_scan, ngram_model
 
@@ -262,3 +263,78 @@ def test_licences_across_lines(spark):
     df = spark.createDataFrame([f[:3] for f in files], "doc_id long, path string, text string")
     got = {r.doc_id: (r.licence, r.found) for r in license_scan.scan(df).collect()}
     assert got == {f[0]: f[3:] for f in files}
+
+
+def test_language_features_equal_brute_force(spark):
+    def grams(text):
+        stream = " " + re.sub(r"[^a-zäöüßéè]+", " ", text.lower()).lstrip() + " "
+        out = collections.Counter()
+        for n in (1, 2, 3):
+            for k in range(len(stream) - n + 1):
+                h = n
+                for c in stream[k : k + n]:
+                    h = ((h ^ ord(c)) * 0x9E3779B1) & 0xFFFFFFFF
+                    h ^= h >> 15
+                out[h >> (32 - language_id.BITS)] += 1
+        return dict(out)
+
+    rng = random.Random(1)
+    for length in (1, 2, 7, 40, 900):
+        text = "".join(rng.choice("aBcß é,. 1\n") for _ in range(length)) + "z"
+        for piece in (1, 2, 3, 10, 1 << 20):  # the cuts between pieces leave no trace
+            at, counts = language_id.features(text, piece)
+            assert dict(zip(at.tolist(), counts.tolist())) == grams(text)
+    assert not len(language_id.features("1 ,2\n")[0]) and not len(language_id.features(None)[0])
+
+    rows = corpus(n=40)
+    docs = documents(spark, rows)
+    model = language_id.train(docs)
+    frequency = collections.Counter()
+    labelled = [r for r in rows if r[2] is not None]
+    for r in labelled:
+        frequency.update(grams(r[1] or "").keys() if re.search("[a-z]", r[1] or "", re.I) else ())
+    for k, n in frequency.items():
+        assert model.idf[k] == pytest.approx(math.log((1 + len(labelled)) / (1 + n)) + 1, rel=1e-5)
+    text = rows[1][1]
+    x = {k: math.log1p(c) * float(model.idf[k]) for k, c in grams(text).items()}
+    norm = math.sqrt(sum(v * v for v in x.values()))
+    logits = [sum(v / norm * float(model.weights[k, j]) for k, v in x.items()) / model.temperature for j in range(len(model.languages))]
+    soft = [math.exp(v) / sum(math.exp(u) for u in logits) for v in logits]
+    lang, score = model.predict(text)
+    assert lang == model.languages[soft.index(max(soft))] and score == pytest.approx(max(soft), rel=1e-4)
+
+
+def test_ftrl_equals_brute_force():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    rows = [(np.sort(rng.choice(50, 6, replace=False)), rng.random(6).astype(np.float32)) for _ in range(30)]
+    labels = np.array([int(r[0][0]) % 3 for r in rows])
+    got = language_id.fit_ftrl(rows, labels, 3, epochs=2)
+    z, n = collections.defaultdict(float), collections.defaultdict(float)
+    alpha, beta, l1, l2 = 0.5, 1.0, 0.02, 0.1
+    weight = lambda k: 0.0 if abs(z[k]) <= l1 else (math.copysign(l1, z[k]) - z[k]) / ((beta + math.sqrt(n[k])) / alpha + l2)
+    order = np.random.default_rng(7)
+    for _ in range(2):
+        for i in order.permutation(len(rows)):
+            at, x = rows[i]
+            logits = [sum(float(v) * weight((a, j)) for a, v in zip(at.tolist(), x)) for j in range(3)]
+            total = sum(math.exp(v) for v in logits)
+            for a, v in zip(at.tolist(), x):
+                for j in range(3):
+                    g = float(v) * (math.exp(logits[j]) / total - (labels[i] == j))
+                    w = weight((a, j))
+                    z[a, j] += g - (math.sqrt(n[a, j] + g * g) - math.sqrt(n[a, j])) / alpha * w
+                    n[a, j] += g * g
+    for a in range(50):
+        for j in range(3):
+            assert got[a, j] == pytest.approx(weight((a, j)), abs=1e-3)
+
+
+def test_languages_are_bounded(spark):
+    many = spark.range(language_id.MAX_LANGUAGES + 1).select(F.lit("some words").alias("text"), F.concat(F.lit("l"), "id").alias("lang"))
+    with pytest.raises(ValueError):
+        language_id.train(many)
+    copies = spark.range(3000).select(F.lit("the same text").alias("text"), F.lit("en").alias("lang")).unionByName(spark.range(50).select(F.concat(F.lit("ein anderer Satz "), "id").alias("text"), F.lit("de").alias("lang")))
+    model = language_id.train(copies, sample=20)
+    assert model.predict("the same text")[0] == "en" and model.predict("ein anderer Satz")[0] == "de"
