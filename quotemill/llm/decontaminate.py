@@ -12,8 +12,12 @@ spread thin by other text between its words can lie below the gate in every wind
 
 A match has lcs >= `accept`, or lcs >= `similar` and the answer found. Words are runs of
 letters and digits of the lower-cased text. A null or empty text, or an item without
-words, matches nothing; repeated rows match alike. The benchmark goes to the workers in
-blocks of about `block` passages, each a pass of its own over the documents.
+words, matches nothing; an item of one or two words matches wherever its words stand in
+order and pass the gate. Repeated rows match alike, and of windows with an equal longest
+subsequence the first is given. Texts and items are read whole, however long; only the
+named columns are read, so others may have any name; empty tables give an empty result.
+The benchmark goes to the workers in blocks of about `block` passages; each takes two
+passes of its own over the documents, one for its words' frequencies, one for the search.
 """
 
 from __future__ import annotations

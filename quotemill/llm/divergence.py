@@ -8,7 +8,10 @@ words are those of 1% or more of its words, at most 100. Guards: a text of fewer
 words in all, nor a text without language: these keep the base verdict.
 
 A null or empty text has no words and fails the base rules. Windows are compared by
-64-bit hashes. Repeated rows are judged alike; an empty table gives an empty result.
+64-bit hashes. Texts are read whole, however long; words of equal frequency at the limit of
+the common ones are taken in order of the word; repeated rows are judged alike, and count
+in the reference as often as they occur; only the id, `text` and `lang` are read, so other
+columns may have any name; an empty table gives an empty result.
 """
 
 from __future__ import annotations

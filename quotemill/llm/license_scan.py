@@ -12,7 +12,9 @@ units are compared once. idf covers headers and whole texts; a term outside the
 A file has the licence of its best unit at `threshold` or above (ties: by name); else it
 inherits that of the nearest ancestor directory with a licence file (within one
 directory: the best cosine, then the name). A null or empty text has no unit; a null path
-inherits nothing; repeated rows are each scanned; an empty table gives an empty result.
+inherits nothing; repeated rows are each scanned; texts are read whole, however long;
+only the id, `path` and `text` are read, so other columns may have any name; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations

@@ -8,7 +8,9 @@ document; the last slot of a source is cut where the target ends, so a source ta
 rounded target and no document more than `max_epochs` times its words.
 
 A null or empty text has size 0 and takes nothing; a null source is a source of its own;
-repeated rows are separate documents; an empty table gives an empty result. Prefix sums
+repeated rows are separate documents; texts are read whole, however long; documents whose
+hashes are equal follow in order of their id and text; other columns may have any name and
+are carried along by `mixed_documents`; an empty table gives an empty result. Prefix sums
 run in two levels (within hashed buckets, then over buckets), so a source of any size
 spreads over many tasks.
 """
@@ -135,10 +137,10 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     digest = mix_digest(*mix_sources(docs, **options), block)
     same = W.partitionBy("doc_id", "row_hash")
     counts = digest.withColumn("row_no", F.row_number().over(same.orderBy(F.desc("copies")))).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("row_hash").alias("_hash"), F.col("row_no").alias("_no"), F.col("copies").alias("_copies_of"))
-    rows = docs.withColumn("_hash_of", F.xxhash64("text"))
-    rows = rows.withColumn("_no_of", F.row_number().over(W.partitionBy("doc_id", "_hash_of").orderBy(F.xxhash64(*docs.columns))))
-    joined = rows.join(counts, rows["doc_id"].eqNullSafe(counts["_id"]) & (rows["_hash_of"] == counts["_hash"]) & (rows["_no_of"] == counts["_no"]))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies_of")))).select(*docs.columns)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", F.xxhash64("text").alias("hash"))
+    rows = rows.withColumn("no", F.row_number().over(W.partitionBy("doc_id", "hash").orderBy(F.xxhash64("row"))))
+    joined = rows.join(counts, rows["doc_id"].eqNullSafe(counts["_id"]) & (F.col("hash") == F.col("_hash")) & (F.col("no") == F.col("_no")))
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("_copies_of")))).select("row.*")
 
 
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,8 +8,9 @@ document: `doc_id`, `start` (its first id within the shard) and `n_tokens`.
 
 Shards follow the order of doc_id; documents run on across sequences, not across
 shards. A null or empty text has the end id alone; a null doc_id sorts first; rows
-that repeat a doc_id are each encoded, in the order of their texts; an empty table
-gives no files.
+that repeat a doc_id are each encoded, in the order of their texts; texts are encoded
+whole, however long; only the id and the text are read, so other columns may have any
+name; an empty table gives no files.
 """
 
 from __future__ import annotations

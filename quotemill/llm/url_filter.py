@@ -4,6 +4,9 @@ The vocabulary is matched by one Aho-Corasick pass over the lower-cased url. A h
 only where it is bounded: the characters beside it are not ASCII letters or digits. One
 strict term rejects; soft terms reject when at least `min_soft` different ones are found
 and their weights sum to `threshold`. A null or blank url has no terms and is allowed.
+Urls are read whole, however long; of rules of equal length the first listed wins (none
+can fit one url both, but for repeats); repeated rows are judged alike; only the id and
+the url are read, so other columns may have any name; an empty table gives an empty result.
 """
 
 from __future__ import annotations
