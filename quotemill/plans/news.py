@@ -17,7 +17,7 @@ from ..operators.joins import anti_new_publishers, join_news_dims, join_rank
 from ..operators.merges import purge_before, refresh_window
 from ..operators.windows import dedupe_latest_headline, surrogate_ids
 from ..sources.readers import scan_trailing_30d, table_exists
-from ..sources.sinks import replace_table, sink_news_day
+from ..sources.sinks import replace_table, sink_news_day, swap_table
 from .prices import Paths
 
 #: Words of the default scorer.
@@ -123,4 +123,4 @@ def gold_headlines(spark: SparkSession, paths: Paths, as_of: date, scorer=None)
     news = scan_trailing_30d(spark, paths.table("silver", "news"), as_of).drop("date")
     rows = headline_window(news, stored, as_of, scorer)
     replace_table(rows, target + ".staged")
-    replace_table(spark.read.parquet(target + ".staged"), target)
+    swap_table(spark, target + ".staged", target)

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.merges import merge_keep_last
@@ -45,12 +45,8 @@ def sink_merge_keep_last(new: DataFrame, path: str, keys: list[str], seq: str, p
     spark = new.sparkSession
     old = spark.read.parquet(path) if table_exists(spark, path) else None
     if part is None:
-        merged = merge_keep_last(old, new, keys, seq)
-        if old is not None:  # a static overwrite can't read its own path
-            staged = f"{path}.staged"
-            merged.write.mode("overwrite").parquet(staged)
-            merged = spark.read.parquet(staged)
-        merged.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        replace_table(merge_keep_last(old, new, keys, seq), f"{path}.staged")  # an overwrite can't read its own path
+        swap_table(spark, f"{path}.staged", path)
     else:
         if old is not None:
             old = old.join(new.select(part).distinct(), part, "left_semi").select(*new.columns)
@@ -78,5 +74,19 @@ def replace_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
+def swap_table(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a written table in the place of another by renames; until the last one the old rows are at `path` or `path`.old."""
+    of = spark._jvm.org.apache.hadoop.fs.Path
+    target, old, new = of(path), of(f"{path}.old"), of(staged)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(target):
+        fs.delete(old, True)
+        if not fs.rename(target, old):
+            raise OSError(f"can't move {path}")
+    if not fs.rename(new, target):
+        raise OSError(f"can't move {staged}")
+    fs.delete(old, True)
+
+
 def append_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
