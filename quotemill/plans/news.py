@@ -96,15 +96,19 @@ def publishers_upsert(news: DataFrame, existing: DataFrame, ranks: DataFrame, ov
         return rows.join(seen, "publisher_name_norm", "left").withColumn("_domain", F.coalesce(blank_to_null("_seen"), blank_to_null("_named"))).drop("_seen")
 
     fresh = surrogate_ids(anti_new_publishers(news, existing), existing, "publisher_id", ["publisher_name_norm"])
-    fresh = with_domain(fresh).withColumn("publisher_domain", F.coalesce("_domain", F.lit(""))).drop("_named", "_domain")
-    weight, source = rank_to_weight("rank", default_weight)
-    fresh = join_rank(fresh, ranks).withColumns({"publisher_weight": weight, "weight_source": source, "ingested_ts": stamp, "weight_updated_ts": stamp}).drop("rank")
-    old = with_domain(existing).withColumn("publisher_domain", F.coalesce(blank_to_null("publisher_domain"), "_domain", F.lit(""))).drop("_named", "_domain")
+    fresh = fresh.select("publisher_id", "publisher_name", "publisher_name_norm", stamp.alias("ingested_ts"))
+    # new rows have neither domain nor weight, so both kinds are filled by the same joins
+    rows = with_domain(existing.unionByName(fresh, allowMissingColumns=True))
+    rows = rows.withColumn("publisher_domain", F.coalesce(blank_to_null("publisher_domain"), "_domain", F.lit(""))).drop("_named", "_domain")
     stale = F.col("weight_updated_ts").isNull() | (F.col("weight_updated_ts") < F.lit(now - timedelta(days=refresh_days)).cast("timestamp")) | F.col("publisher_weight").isNull()
-    old = join_rank(old, ranks).withColumn("_stale", stale)
-    old = old.withColumns({"publisher_weight": F.when(F.col("_stale"), weight).otherwise(F.col("publisher_weight")), "weight_source": F.when(F.col("_stale"), source).otherwise(F.col("weight_source")), "weight_updated_ts": F.when(F.col("_stale"), stamp).otherwise(F.col("weight_updated_ts"))}).drop("rank", "_stale")
-    columns = [f.name for f in schemas.PUBLISHERS.fields]
-    return old.select(*columns).unionByName(fresh.select(*columns))
+    weight, source = rank_to_weight("rank", default_weight)
+    rows = join_rank(rows, ranks).withColumn("_stale", stale)
+    rows = rows.withColumns({
+        "publisher_weight": F.when(F.col("_stale"), weight).otherwise(F.col("publisher_weight")),
+        "weight_source": F.when(F.col("_stale"), source).otherwise(F.col("weight_source")),
+        "weight_updated_ts": F.when(F.col("_stale"), stamp).otherwise(F.col("weight_updated_ts")),
+    })
+    return rows.select(*[f.name for f in schemas.PUBLISHERS.fields])
 
 
 def headline_window(news: DataFrame, stored: DataFrame | None, as_of: date, scorer=None, ts: str = "query_date") -> DataFrame:
