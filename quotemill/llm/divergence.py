@@ -153,4 +153,44 @@ def op5_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     references = shared.keep(language_references(docs), "references")
     judged = quality(docs, references)
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance")
+    distances = [F.round(c, 6).alias(c) for c in ("class_distance", "word_distance")]
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *distances)
+
+
+_CLASS_SQL = {
+    "lower": "length(regexp_replace(t, '[^a-z]+', '', 'g'))",
+    "upper": "length(regexp_replace(t, '[^A-Z]+', '', 'g'))",
+    "digit": "length(regexp_replace(t, '[^0-9]+', '', 'g'))",
+    "space": "length(regexp_replace(t, '[^\\x20\\x09-\\x0D]+', '', 'g'))",
+    "symbol": "length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))",
+    "wide": "strlen(t) - length(t)",
+    "other": "length(t) - c_lower - c_upper - c_digit - c_space - c_symbol",
+}
+_JS = "CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END / 2 + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END / 2"
+#: The query in DuckDB.
+ORACLE_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t FROM documents),
+rows AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS words, {", ".join(f"{v} AS c_{k}" for k, v in _CLASS_SQL.items())} FROM docs),
+counted AS (SELECT *, len(words) AS n_words, length(t) - c_space AS word_chars, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines,
+ [{", ".join(f"CAST(c_{k} AS DOUBLE)" for k in CLASSES)}] AS classes FROM rows),
+windows AS (SELECT r, unnest(range(1, n_words - {WINDOW - 2})) AS i, words FROM counted WHERE n_words > {WINDOW}),
+hashed AS (SELECT r, i, array_to_string(list_slice(words, i, i + {WINDOW - 1}), ' ') AS h FROM windows),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, h) AS n FROM hashed) WHERE n > 1),
+covered AS (SELECT r, CAST(sum(least({WINDOW}, i - before)) AS BIGINT) AS n_repeat_words FROM (SELECT r, i, lag(i, 1, i - {WINDOW}) OVER (PARTITION BY r ORDER BY i) AS before FROM twice) GROUP BY r),
+spoken AS (SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(words) AS word FROM counted WHERE lang IS NOT NULL) GROUP BY ALL),
+totals AS (SELECT lang, sum(n) AS total FROM spoken GROUP BY lang HAVING sum(n) >= 1000),
+common AS (SELECT lang, word, n / total AS q FROM spoken JOIN totals USING (lang) WHERE n >= total * 0.01),
+base AS (SELECT r, doc_id, n_words, word_chars, c_symbol AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, lang, words, classes
+ FROM counted LEFT JOIN covered USING (r)),
+compared AS (SELECT base.* FROM base JOIN totals USING (lang) WHERE n_words >= 50),
+found AS (SELECT r, word, count(*) AS k FROM (SELECT r, lang, unnest(words) AS word FROM compared) JOIN common USING (lang, word) GROUP BY ALL),
+known AS (SELECT compared.r, common.q, coalesce(k, 0) / n_words AS p FROM compared JOIN common USING (lang) LEFT JOIN found ON found.r = compared.r AND found.word = common.word),
+filled AS (SELECT r, p, q FROM known UNION ALL SELECT compared.r, 1 - coalesce(sum(p), 0), 1 - coalesce(sum(q), 0) FROM compared LEFT JOIN known USING (r) GROUP BY compared.r),
+far_words AS (SELECT r, sqrt(greatest(sum({_JS}), 0)) AS word_distance FROM filled GROUP BY r),
+sums AS (SELECT lang, [{", ".join(f"sum(c_{k})" for k in CLASSES)}] AS held FROM counted JOIN totals USING (lang) GROUP BY lang),
+pairs AS (SELECT r, unnest(classes) / list_sum(classes) AS p, unnest(held) / list_sum(held) AS q FROM compared JOIN sums USING (lang)),
+far_classes AS (SELECT r, sqrt(greatest(sum({_JS}), 0)) AS class_distance FROM pairs GROUP BY r),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM base LEFT JOIN far_words USING (r) LEFT JOIN far_classes USING (r))
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+ base_failed, NOT base_failed AND NOT coalesce(class_distance > 0.325, false) AND NOT coalesce(word_distance > 0.42, false) AS kept, round(class_distance, 6) AS class_distance, round(word_distance, 6) AS word_distance FROM judged
+"""

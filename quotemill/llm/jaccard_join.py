@@ -482,3 +482,18 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component and number of links of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return near_duplicates(docs, links=True).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+#: The query in DuckDB: all pairs with a shingle in common, then the closure of their links.
+ORACLE_SQL = """
+WITH RECURSIVE docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+shingles AS (SELECT DISTINCT r, s FROM (SELECT r, unnest(CASE WHEN len(words) >= 5 THEN list_transform(range(1, len(words) - 3), lambda i: array_to_string(list_slice(words, i, i + 4), ' ')) WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS s FROM docs)),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+common AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.r < b.r GROUP BY ALL),
+links AS (SELECT x, y FROM common JOIN sizes sx ON sx.r = x JOIN sizes sy ON sy.r = y WHERE 100 * c >= 75 * (sx.n + sy.n - c)),
+sides AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT r, r AS m FROM docs UNION SELECT reach.r, sides.y FROM reach JOIN sides ON sides.x = reach.m),
+named AS (SELECT reach.r, min(docs.doc_id) AS component_id FROM reach JOIN docs ON docs.r = reach.m GROUP BY reach.r),
+counted AS (SELECT x AS r, count(*) AS n_links FROM sides GROUP BY x)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links FROM docs JOIN named USING (r) LEFT JOIN sizes USING (r) LEFT JOIN counted USING (r)
+"""

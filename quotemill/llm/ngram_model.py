@@ -343,4 +343,37 @@ def op1_ngram_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     model = train(docs.where(~held_out("doc_id")))
     scored = score(docs, model).withColumn("held_out", held_out("doc_id")).withColumn("train_tokens", F.lit(model.n_tokens).cast("long"))
-    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", *[F.round(c, 6).alias(c) for c in ("base_score", "score")])
+
+
+def _discount_sql(table: str, column: str) -> str:
+    """The three discounts as a list, by the rule of `_discounts`."""
+    n = [f"count(*) FILTER ({column} = {k})" for k in (1, 2, 3, 4)]
+    y = "(n1 / (n1 + 2 * n2))"
+    found = [f"{k} - {k + 1} * {y} * n{k + 1} / n{k}" for k in (1, 2, 3)]
+    fits = " AND ".join(f"d[{k}] > 0 AND d[{k}] <= {k}" for k in (1, 2, 3))
+    raw = f"SELECT CASE WHEN least(n1, n2, n3, n4) > 0 THEN [{', '.join(found)}] END AS d FROM (SELECT {', '.join(f'{x} AS n{k}' for k, x in enumerate(n, 1))} FROM {table})"
+    return f"SELECT CASE WHEN d IS NOT NULL AND {fits} THEN d ELSE [0.5, 1.0, 1.5] END AS d FROM ({raw})"
+
+
+#: The query in DuckDB. CRC-32 runs over a table of 256 values that the SQL itself makes; ' s' and ' e' are start and end.
+ORACLE_SQL = f"""
+WITH crc AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1))) AS v FROM range(256) AS r(i))),
+docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(CAST(doc_id AS VARCHAR), '') AS name, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+summed AS (SELECT docs.*, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), CASE WHEN name = '' THEN [] ELSE list_transform(string_split(name, ''), lambda c: CAST(ascii(c) AS BIGINT)) END), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 10 = 0 AS held_out FROM docs, crc),
+tokens AS (SELECT r, held_out, unnest(list_prepend(' s', words)) AS v, unnest(list_append(words, ' e')) AS w FROM summed),
+words AS (SELECT w, count(*) AS c FROM tokens WHERE NOT held_out GROUP BY w),
+total AS (SELECT coalesce(sum(c), 0) AS n, count(*) AS size FROM words),
+pairs AS (SELECT v, w, count(*) AS c FROM tokens WHERE NOT held_out GROUP BY v, w),
+kinds AS (SELECT w, count(*) AS k FROM pairs GROUP BY w),
+high AS ({_discount_sql("pairs", "c")}),
+low AS ({_discount_sql("kinds", "k")}),
+n_pairs AS (SELECT count(*) AS m FROM pairs),
+rest AS (SELECT sum(low.d[least(k, 3)]) / max(m) / (count(*) + 1) AS p FROM kinds, low, n_pairs),
+single AS (SELECT w, greatest(k - low.d[least(k, 3)], 0) / m + rest.p AS p FROM kinds, low, n_pairs, rest),
+contexts AS (SELECT v, sum(c) AS c, sum(high.d[least(c, 3)]) AS given FROM pairs, high GROUP BY v),
+scored AS (SELECT r, words.c, coalesce(single.p, rest.p) AS p1, contexts.c AS cv, given, greatest(coalesce(pairs.c, 0) - coalesce(high.d[least(pairs.c, 3)], 0), 0) AS taken
+ FROM tokens LEFT JOIN words USING (w) LEFT JOIN single USING (w) LEFT JOIN contexts USING (v) LEFT JOIN pairs USING (v, w), rest, high)
+SELECT doc_id, held_out, count(*) AS n_tokens, count(c) AS n_known, CAST(max(n) AS BIGINT) AS train_tokens, round(sum(log10((coalesce(c, 0) + 0.1) / (n + 0.1 * (size + 1)))), 6) AS base_score,
+ round(sum(log10(CASE WHEN cv IS NULL THEN p1 ELSE taken / cv + given / cv * p1 END)), 6) AS score FROM scored JOIN summed USING (r), total GROUP BY r, doc_id, held_out
+"""

@@ -14,4 +14,9 @@ QUERIES = {
     "op9_license_scan": license_scan.op9_license_scan,
     "op10_token_files": token_files.op10_token_files,
 }
-ORACLE_SQL = {"op2_url_filter": url_filter.ORACLE_SQL}
+ORACLE_SQL = {
+    "op1_ngram_score": ngram_model.ORACLE_SQL,
+    "op2_url_filter": url_filter.ORACLE_SQL,
+    "op5_divergence": divergence.ORACLE_SQL,
+    "op8_jaccard_join": jaccard_join.ORACLE_SQL,
+}
