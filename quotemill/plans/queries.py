@@ -469,7 +469,7 @@ def _(spark, d):
     return J.join_sp500_assets(rows, X.assets(spark, d)).select("security", "symbol", "asset_id")
 
 
-_BASE = """CASE WHEN len(ls) >= 3 AND list_aggregate(ls[-2:], 'string_agg', '.') IN ('co.uk', 'com.au', 'com.br', 'com.mx', 'com.sg', 'com.hk', 'com.tw', 'com.tr', 'co.jp', 'co.in', 'co.kr', 'co.nz', 'co.za')
+_BASE = f"""CASE WHEN len(ls) >= 3 AND list_aggregate(ls[-2:], 'string_agg', '.') IN ({", ".join(f"'{x}'" for x in C.TWO_PART_SUFFIXES)})
  THEN list_aggregate(ls[-3:], 'string_agg', '.') ELSE list_aggregate(ls[-2:], 'string_agg', '.') END"""
 _BASES = f"bases AS (SELECT page_id, {_BASE} AS base FROM (SELECT page_id, list_filter(string_split(regexp_replace(lower(trim(host)), '^www\\.', ''), '.'), lambda x: x <> '') AS ls FROM hosts))"
 
