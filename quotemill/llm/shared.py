@@ -14,12 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir` of the session; where unset (tests) a local folder, set here."""
+    """`spark.checkpoint.dir` of the session; where unset a local folder, set here, but only in local mode: a cluster must name one."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = held.get() if held.isDefined() else None
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="quotemill-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

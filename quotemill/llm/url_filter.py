@@ -90,7 +90,8 @@ def judge_urls(pages: DataFrame, url: str = "url", rules: list[tuple[str, str, s
     host, path = url_parts(F.col(url))
     parts = pages.withColumns({"host": host, "path": path})
     rule, said = longest_rule(F.col("host"), F.col("path"), rules)
-    judged = parts.withColumns({"rule": rule, "_said": said, "_bad": vocabulary_rejects(F.col(url))})
+    judged = parts.withColumns({"rule": rule, "_said": said})
+    judged = judged.withColumn("_bad", vocabulary_rejects(F.when(F.col("_said").isNull(), F.col(url))))  # only where no rule decides
     return judged.withColumn("verdict", F.coalesce("_said", F.when(F.col("_bad"), "block").otherwise("allow"))).drop("_said", "_bad")
 
 
