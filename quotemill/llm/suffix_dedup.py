@@ -71,8 +71,8 @@ BYTES = Windows(400, 200, 50)
 
 
 def words_of(n: int) -> Windows:
-    """Windows of n words (12 at least)."""
-    return Windows(n, n // 2, n // 8, 4, True)
+    """Windows of n words (12 at least); two thirds for the anchor, as words are fewer and tell more than bytes."""
+    return Windows(n, n * 2 // 3, n // 8, 4, True)
 
 
 def _units(batch: pa.RecordBatch, w: Windows):
@@ -266,12 +266,11 @@ def _compare(pieces: DataFrame, w: Windows) -> DataFrame:
     return pieces.mapInArrow(compare, SPANS)
 
 
-def _cut(docs: DataFrame, contexts: DataFrame, w: Windows, few: bool = False) -> DataFrame:
-    """The bytes of contexts (key, context, n, one), read where each first occurs; of `few` Spark sees the size before it joins."""
+def _cut(docs: DataFrame, contexts: DataFrame, w: Windows) -> DataFrame:
+    """The bytes of contexts (key, context, n, one), read where each first occurs."""
     asked = F.struct("key", "context", "n", F.col("one.row").alias("owner"), "one.pos", "one.back", "one.near")
     wanted = contexts.groupBy("one.id", "one.row").agg(F.collect_list(asked).alias("wanted"))
-    wanted = shared.keep(wanted, "wanted") if few else wanted.hint("merge")
-    texts = docs.select("id", "row", "text").join(wanted, ["id", "row"])
+    texts = docs.select("id", "row", "text").join(wanted.hint("merge"), ["id", "row"])
 
     def cut(batches):
         for batch in batches:
@@ -339,11 +338,12 @@ def repeated_windows(docs: DataFrame, heavy: int = HEAVY, w: Windows = BYTES) ->
         contexts = several.groupBy("key", "context").agg(n.alias("n"), F.min(F.struct("id", "row", "pos", "back", "near")).alias("one"))
         contexts = shared.keep(contexts, "contexts")
         many = shared.keep(contexts.groupBy("key").count().where(F.col("count") > heavy).select("key"), "heavy-keys")
+        pieces = _cut(docs, contexts, w)
         if many.isEmpty():
-            spans = _compare(_cut(docs, contexts, w), w)
+            spans = _compare(pieces, w)
         else:
-            spans = _compare(_cut(docs, contexts.join(many, "key", "left_anti"), w), w)
-            spans = spans.unionByName(_split(_cut(docs, contexts.join(many, "key", "left_semi"), w, few=True), heavy, w))
+            pieces = shared.keep(pieces, "pieces")  # the texts are dealt once
+            spans = _compare(pieces.join(many, "key", "left_anti"), w).unionByName(_split(pieces.join(many, "key", "left_semi"), heavy, w))
         spans = shared.keep(spans, "spans")
         placed = several.select("id", "row", "key", "context", "pos").join(spans.hint("merge"), ["key", "context"])
         covered = placed.select("id", "row", (F.col("pos") - F.col("back")).alias("begin"), (F.col("pos") - F.col("near") + w.length).alias("end"))
