@@ -1,6 +1,6 @@
 """Queries of this subpackage and their SQL."""
 
-from . import decontaminate, divergence, jaccard_join, language_id, license_scan, ngram_model, source_mix, suffix_dedup, token_files, url_filter
+from . import decontaminate, divergence, jaccard_join, language_id, license_scan, ngram_model, period_runs, source_mix, suffix_dedup, token_files, url_filter
 
 QUERIES = {
     "op1_ngram_score": ngram_model.op1_ngram_score,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op9_license_scan": license_scan.op9_license_scan,
     "op10_token_files": token_files.op10_token_files,
+    "op11_period_runs": period_runs.op11_period_runs,
 }
 ORACLE_SQL = {
     "op1_ngram_score": ngram_model.ORACLE_SQL,
