@@ -1,6 +1,6 @@
 """Queries of this subpackage and their SQL."""
 
-from . import decontaminate, divergence, jaccard_join, language_id, license_scan, ngram_model, period_runs, source_mix, suffix_dedup, token_files, url_filter
+from . import decontaminate, divergence, jaccard_join, language_id, license_scan, ngram_model, period_runs, source_mix, suffix_dedup, token_files, topk_search, url_filter
 
 QUERIES = {
     "op1_ngram_score": ngram_model.op1_ngram_score,
@@ -14,10 +14,12 @@ QUERIES = {
     "op9_license_scan": license_scan.op9_license_scan,
     "op10_token_files": token_files.op10_token_files,
     "op11_period_runs": period_runs.op11_period_runs,
+    "op12_exact_top_k": topk_search.op12_exact_top_k,
 }
 ORACLE_SQL = {
     "op1_ngram_score": ngram_model.ORACLE_SQL,
     "op2_url_filter": url_filter.ORACLE_SQL,
     "op5_divergence": divergence.ORACLE_SQL,
     "op8_jaccard_join": jaccard_join.ORACLE_SQL,
+    "op12_exact_top_k": topk_search.ORACLE_SQL,
 }
