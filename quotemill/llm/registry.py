@@ -1,6 +1,6 @@
 """Queries of this subpackage and their SQL."""
 
-from . import decontaminate, divergence, jaccard_join, language_id, license_scan, ngram_model, period_runs, source_mix, suffix_dedup, token_files, topk_search, url_filter
+from . import decontaminate, divergence, jaccard_join, language_id, license_scan, merkle_manifest, ngram_model, period_runs, source_mix, suffix_dedup, token_files, topk_search, url_filter
 
 QUERIES = {
     "op1_ngram_score": ngram_model.op1_ngram_score,
@@ -15,6 +15,7 @@ QUERIES = {
     "op10_token_files": token_files.op10_token_files,
     "op11_period_runs": period_runs.op11_period_runs,
     "op12_exact_top_k": topk_search.op12_exact_top_k,
+    "op13_merkle_manifest": merkle_manifest.op13_merkle_manifest,
 }
 ORACLE_SQL = {
     "op1_ngram_score": ngram_model.ORACLE_SQL,
@@ -22,4 +23,5 @@ ORACLE_SQL = {
     "op5_divergence": divergence.ORACLE_SQL,
     "op8_jaccard_join": jaccard_join.ORACLE_SQL,
     "op12_exact_top_k": topk_search.ORACLE_SQL,
+    "op13_merkle_manifest": merkle_manifest.ORACLE_SQL,
 }
