@@ -10,7 +10,8 @@ Levels are stored as rows that link to their parent: tree (the source's number;
 the subroots), level, index, the digests of their children, and the place among the
 parent's. A recursive query starts at every leaf, joins the parent's row, appends the
 siblings' digests and folds the own one. Rows of steps carry only their own siblings;
-they are put together once, at the end, so that long proofs aren't shuffled at every step.
+they are put together once, at the end, so that long proofs aren't shuffled at every step;
+neighbouring leaves, which share most siblings, are dealt together and so compress.
 The upper nodes are met by all leaves below them: such a node is stored in one copy per
 COPY leaves (MOST copies at most), dealt by the leaf's key, so no join has a hot key and
 nothing is broadcast. Places in the order come from one range exchange whose partitions
@@ -45,7 +46,11 @@ def leaf_digest(columns: list[Column]) -> Column:
     for c in columns:
         told = c.cast("string")
         parts.append(F.when(c.isNull(), "-").otherwise(F.concat(F.octet_length(told), F.lit(":"), told)))
-    return F.sha2(F.concat(*parts), 256)
+    return F.unhex(F.sha2(F.concat(*parts), 256))
+
+
+def hexadecimal(digest: Column) -> Column:
+    return F.lower(F.hex(digest))
 
 
 def lower_ascii(text: Column) -> Column:
@@ -54,7 +59,7 @@ def lower_ascii(text: Column) -> Column:
 
 @dataclass
 class Manifest:
-    """Leaves (key, tree, idx, n, payload and link), inner nodes with their copies, and a row for each source."""
+    """Leaves (key, tree, idx, n, leaf, payload and link), inner nodes with their copies, and a row for each source."""
 
     leaves: DataFrame
     nodes: DataFrame
@@ -81,9 +86,9 @@ def _build(level: DataFrame, widest: int, fanout: int, name: str) -> list[DataFr
     levels, n = [level], widest
     while n > 1:
         grouped = level.where("n > 1").groupBy("tree", F.floor(F.col("idx") / fanout).alias("parent"))
-        kids = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "digest"))), lambda x: x["digest"]), "")
+        kids = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "digest"))), lambda x: hexadecimal(x["digest"])), "")
         rows = grouped.agg(kids.alias("kids"), F.ceil(F.max("n") / fanout).alias("n"), F.sum("weight").alias("weight"))
-        level = shared.keep(rows.select("tree", F.col("parent").alias("idx"), F.sha2("kids", 256).alias("digest"), "n", "weight", "kids"), f"{name}-level")
+        level = shared.keep(rows.select("tree", F.col("parent").alias("idx"), F.unhex(F.sha2("kids", 256)).alias("digest"), "n", "weight", "kids"), f"{name}-level")
         levels.append(level)
         n = -(-n // fanout)
     return levels
@@ -147,42 +152,44 @@ def build_manifest(rows: DataFrame, order: str, source: str, payload: list[str],
         copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)).alias("copy")
         nodes = shared.keep(nodes.select("tree", "level", "idx", copies, "digest", "kids", (F.col("_below") & F.col("_last")).alias("subroot"), *LINK), "merkle-nodes")
     else:
-        nodes = spark.createDataFrame([], "tree long, level int, idx long, copy long, digest string, kids string, subroot boolean, up_tree long, up_level int, up_idx long, up_copies long, pos int")
+        nodes = spark.createDataFrame([], "tree long, level int, idx long, copy long, digest binary, kids string, subroot boolean, up_tree long, up_level int, up_idx long, up_copies long, pos int")
     return Manifest(rooted(_linked(leaves, 0, fanout)), nodes, sources)
 
 
 CLIMB = """
 WITH RECURSIVE climb AS (
- SELECT key, 0 AS step, up_tree, up_level, up_idx, up_copies, pos, start AS folded, CAST(NULL AS BINARY) AS siblings, leaf AS digest, n = 1 AS subroot FROM {leaves}
+ SELECT key, 0 AS step, up_tree, up_level, up_idx, up_copies, pos, start AS folded, CAST(NULL AS BINARY) AS siblings, leaf AS digest, n = 1 AS subroot, payload FROM {leaves}
  UNION ALL
- SELECT c.key, c.step + 1, p.up_tree, p.up_level, p.up_idx, p.up_copies, p.pos, sha2(overlay(p.kids PLACING c.folded FROM c.pos * {hex} + 1 FOR {hex}), 256),
-  unhex(concat(substr(p.kids, 1, c.pos * {hex}), substr(p.kids, (c.pos + 1) * {hex} + 1))), p.digest, p.subroot
+ SELECT c.key, c.step + 1, p.up_tree, p.up_level, p.up_idx, p.up_copies, p.pos, unhex(sha2(overlay(p.kids PLACING lower(hex(c.folded)) FROM c.pos * {hex} + 1 FOR {hex}), 256)),
+  unhex(concat(substr(p.kids, 1, c.pos * {hex}), substr(p.kids, (c.pos + 1) * {hex} + 1))), p.digest, p.subroot, NULL
  FROM climb c JOIN {nodes} p ON c.up_tree = p.tree AND c.up_level = p.level AND c.up_idx = p.idx AND pmod(c.key, c.up_copies) = p.copy
 )
 SELECT * FROM climb
 """
 
 
-def climb(manifest: Manifest, start: Column) -> DataFrame:
-    """For each leaf its `key`, subroot, root, the siblings' digests from the bottom up and from left to right as `proof` (hexadecimal), and the root that `start` instead of the leaf folds to."""
-    spark, name = manifest.nodes.sparkSession, f"merkle_{uuid.uuid4().hex}"
-    limit, held = "spark.sql.cteRecursionRowLimit", None
-    manifest.leaves.withColumn("start", start).createOrReplaceTempView(f"{name}_leaves")
-    manifest.nodes.createOrReplaceTempView(f"{name}_nodes")
+def climb(manifest: Manifest, start: Column, payload: list[str], digest: bool = False, lasting: bool = False) -> DataFrame:
+    """For each leaf `payload` and its leaf, subroot, root, the siblings from the bottom up and from left to right as `proof`, and the root that `start` instead of the leaf folds to; digests are binary. With `digest` the column proof_sha256 stands for the proof."""
+    spark, views = manifest.nodes.sparkSession, f"merkle_{uuid.uuid4().hex}"
+    limit = "spark.sql.cteRecursionRowLimit"
+    manifest.leaves.withColumns({"start": start, "payload": F.struct(*payload)}).createOrReplaceTempView(f"{views}_leaves")
+    manifest.nodes.createOrReplaceTempView(f"{views}_nodes")
+    held = spark.conf.get(limit)
     try:
-        held = spark.conf.get(limit)
-        spark.conf.set(limit, "-1")  # a row a leaf and step
-        steps = shared.keep(spark.sql(CLIMB.format(leaves=f"{name}_leaves", nodes=f"{name}_nodes", hex=HEX)).select("key", "step", "folded", "siblings", "digest", "subroot"), "merkle-steps")
+        spark.conf.set(limit, "-1")  # there is a row for each leaf and step
+        steps = spark.sql(CLIMB.format(leaves=f"{views}_leaves", nodes=f"{views}_nodes", hex=HEX))
+        steps = steps.select(F.shiftright("key", 4).alias("near"), "key", "step", "folded", "siblings", "digest", "subroot", "payload").repartition(shared.partitions(spark), "near")
+        proof = F.array_sort(F.collect_list(F.when(F.col("siblings").isNotNull(), F.struct("step", "siblings"))))
+        ends = [F.max(F.when(F.col("step") == 0, F.struct("digest", "payload"))).alias("_first"), F.max(F.struct("step", "digest", "folded")).alias("_last"), F.max(F.when(F.col("subroot"), F.col("digest"))).alias("subroot")]
+        found = steps.groupBy("near", "key").agg(proof.alias("_proof"), *ends)
+        told = F.aggregate("_proof", F.lit(b""), lambda a, x: F.concat(a, x["siblings"]))
+        told = F.sha2(hexadecimal(told), 256).alias("proof_sha256") if digest else told.alias("proof")
+        result = found.select(*[F.col(f"_first.payload.{c}").alias(c) for c in payload], F.col("_first.digest").alias("leaf"), "subroot", F.col("_last.digest").alias("root"), told, F.col("_last.folded").alias("folded_root"))
+        return shared.keep(result, "merkle-climb", lasting)
     finally:
-        if held is not None:
-            spark.conf.set(limit, held)
-        spark.catalog.dropTempView(f"{name}_leaves")
-        spark.catalog.dropTempView(f"{name}_nodes")
-    proof = F.array_sort(F.collect_list(F.when(F.col("siblings").isNotNull(), F.struct("step", "siblings"))))
-    last = F.max(F.struct("step", "digest", "folded"))
-    found = steps.groupBy("key").agg(proof.alias("_proof"), last.alias("_last"), F.max(F.when(F.col("subroot"), F.col("digest"))).alias("subroot"))
-    told = F.array_join(F.transform("_proof", lambda x: F.lower(F.hex(x["siblings"]))), "")
-    return found.select("key", "subroot", F.col("_last.digest").alias("root"), told.alias("proof"), F.col("_last.folded").alias("folded_root"))
+        spark.conf.set(limit, held)
+        spark.catalog.dropTempView(f"{views}_leaves")
+        spark.catalog.dropTempView(f"{views}_nodes")
 
 
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,10 +201,9 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", leaf.alias("leaf"), F.when(told, changed).alias("changed"))
     with shared.temporary(spark):
         manifest = build_manifest(rows, "doc_id", "source", ["doc_id", "changed"])
-        found = climb(manifest, F.coalesce("changed", "leaf"))
-        named = manifest.leaves.select("key", "doc_id", "leaf").join(found, "key")
-        result = named.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
-        return shared.keep(result, "merkle", lasting=True)
+        found = climb(manifest, F.coalesce("changed", "leaf"), ["doc_id"], digest=True, lasting=True)
+        told = {c: hexadecimal(F.col(c)) for c in ("leaf", "subroot", "root", "folded_root")}
+        return found.select("doc_id", *[told[c].alias(c) for c in ("leaf", "subroot", "root")], "proof_sha256", told["folded_root"].alias("folded_root"), (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
 _FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || {0} END"

@@ -83,15 +83,15 @@ def test_small_trees(spark, tmp_path, rows):
 
 def test_upper_nodes_are_stored_in_copies(spark, monkeypatch):
     monkeypatch.setattr(merkle_manifest, "COPY", 8)
-    rows = spark.range(300).select("id", F.when(F.col("id") < 200, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 9)).alias("source"), F.sha2(F.col("id").cast("string"), 256).alias("leaf"))
+    rows = spark.range(300).select("id", F.when(F.col("id") < 200, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 9)).alias("source"), F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("leaf"))
     manifest = build_manifest(rows, "id", "source", ["id"], fanout=4)
     sizes = [r["count"] for r in manifest.nodes.groupBy("tree", "level", "idx").count().collect()]
     assert max(sizes) == 37 and min(sizes) == 1  # the root has 300 leaves
-    found = climb(manifest, F.col("leaf")).collect()
+    found = climb(manifest, F.col("leaf"), ["id"]).collect()
     assert len(found) == 300 and all(r["root"] == r["folded_root"] for r in found) and len({r["root"] for r in found}) == 1
     trees = {s: [sha(str(k)) for k in range(300) if (k < 200) == (s == "hot") and (s == "hot" or s == f"s{k % 9}")] for s in ["hot", *[f"s{k}" for k in range(9)]]}
-    assert found[0]["root"] == levels([levels(trees[s], 4)[-1][0] for s in sorted(trees)], 4)[-1][0]
-    one = {r["key"]: r for r in found}[manifest.leaves.where("id = 77").first()["key"]]
+    assert found[0]["root"].hex() == levels([levels(trees[s], 4)[-1][0] for s in sorted(trees)], 4)[-1][0]
+    one = {r["id"]: r for r in found}[77]
     half, proof = walk(levels(trees["hot"], 4), 77, sha("77"), 4)
     _, more = walk(levels([levels(trees[s], 4)[-1][0] for s in sorted(trees)], 4), 0, half, 4)
-    assert one["proof"] == "".join(proof + more)
+    assert one["proof"].hex() == "".join(proof + more)
