@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 from . import shared
 
 FANOUT, COPY, MOST = 16, 4096, 4096
+#: Tables of at most so many rows (by a count or a bound) stay in one task instead of being dealt.
+FEW = 20_000
 #: Characters of a digest.
 HEX = 64
 TOP = -1
@@ -66,11 +68,16 @@ class Manifest:
     sources: DataFrame
 
 
-def _numbered(rows: DataFrame, by: str, order: list[str], name: str) -> tuple[DataFrame, DataFrame]:
-    """Rows with a unique `key`, their partition and place in it, in the order of `by` and `order`; and where each (part, by) begins in its `by`."""
+def _few(df: DataFrame, rows: int) -> DataFrame:
+    return df.coalesce(1) if rows <= FEW else df
+
+
+def _numbered(rows: DataFrame, by: str, order: list[str], name: str, count: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows (`count` of them, where known) with a unique `key`, their partition and place in it, in the order of `by` and `order`; and where each (part, by) begins in its `by`."""
     parts = shared.partitions(rows.sparkSession)
     keys = [F.col(by).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in order]]
-    written = shared.keep(rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("key", F.monotonically_increasing_id()), name)
+    dealt = rows.coalesce(1) if count is not None and count <= FEW else rows.repartitionByRange(parts, *keys)
+    written = shared.keep(dealt.sortWithinPartitions(*keys).withColumn("key", F.monotonically_increasing_id()), name)
     placed = written.withColumns({"part": F.shiftright("key", 33), "row_no": F.col("key").bitwiseAND(F.lit((1 << 33) - 1))})
     runs = placed.groupBy("part", by).agg(F.min("row_no").alias("first"), F.count("*").alias("size"))
     before = F.sum("size").over(W.partitionBy(by).orderBy("part").rowsBetween(W.unboundedPreceding, -1))
@@ -81,15 +88,16 @@ def _copies(weight: Column) -> Column:
     return F.least(F.greatest(F.floor(weight / COPY), F.lit(1)), F.lit(MOST)).cast("long")
 
 
-def _build(level: DataFrame, widest: int, fanout: int, name: str) -> list[DataFrame]:
-    """Stored levels above (tree, idx, digest, n, weight): each with its children's digests, until one node of every tree remains."""
+def _build(level: DataFrame, count: int, trees: int, widest: int, fanout: int, name: str) -> list[DataFrame]:
+    """Stored levels above (tree, idx, digest, n, weight), which has `count` rows of `trees` trees: each with its children's digests, until one node of every tree remains."""
     levels, n = [level], widest
     while n > 1:
-        grouped = level.where("n > 1").groupBy("tree", F.floor(F.col("idx") / fanout).alias("parent"))
+        grouped = _few(level, count).where("n > 1").groupBy("tree", F.floor(F.col("idx") / fanout).alias("parent"))
         kids = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "digest"))), lambda x: hexadecimal(x["digest"])), "")
         rows = grouped.agg(kids.alias("kids"), F.ceil(F.max("n") / fanout).alias("n"), F.sum("weight").alias("weight"))
         level = shared.keep(rows.select("tree", F.col("parent").alias("idx"), F.unhex(F.sha2("kids", 256)).alias("digest"), "n", "weight", "kids"), f"{name}-level")
-        levels.append(level)
+        count = count // fanout + trees  # at most
+        levels.append(_few(level, count))
         n = -(-n // fanout)
     return levels
 
@@ -114,8 +122,11 @@ def build_manifest(rows: DataFrame, order: str, source: str, payload: list[str],
     kept = rows.select(F.col(source).alias("source"), F.col(order).alias("order"), "leaf", *[F.col(c) for c in payload])
     placed, runs = _numbered(kept, "source", ["order", "leaf"], "merkle-leaves")
     runs = shared.keep(runs, "merkle-runs")
+    n_runs, n_leaves = runs.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    runs = _few(runs, n_runs)
     sizes = runs.groupBy("source").agg(F.sum("size").alias("size")).withColumn("one", F.lit(0))
-    numbered, starts = _numbered(sizes, "one", ["source"], "merkle-sources")
+    numbered, starts = _numbered(sizes, "one", ["source"], "merkle-sources", n_runs)
+    numbered, starts = _few(numbered, n_runs), _few(starts, n_runs)
     numbered = numbered.join(starts.select("part", "first", "before"), "part").select("source", "size", (F.col("before") + F.col("row_no") - F.col("first")).alias("tree"))
     sources = shared.keep(numbered, "merkle-trees")
     n_sources, widest = sources.agg(F.count("*"), F.coalesce(F.max("size"), F.lit(0))).first()
@@ -125,14 +136,14 @@ def build_manifest(rows: DataFrame, order: str, source: str, payload: list[str],
     leaves = shared.keep(leaves, "merkle-placed")
 
     level0 = leaves.select("tree", "idx", F.col("leaf").alias("digest"), "n", F.lit(1).cast("long").alias("weight"))
-    inner = _build(level0, widest, fanout, "merkle-source")
+    inner = _build(level0, n_leaves, n_sources, widest, fanout, "merkle-source")
     last = [x.where("n = 1").select("tree", "digest", "weight") for x in inner]
     subroots = last[0]
     for x in last[1:]:
         subroots = subroots.unionByName(x)
     # a lone leaf has the weight 1; of other trees the last node has that of all its leaves
     tops = shared.keep(subroots.select(F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("idx"), "digest", F.lit(n_sources).cast("long").alias("n"), "weight"), "merkle-subroots")
-    upper = _build(tops, n_sources, fanout, "merkle-top")
+    upper = _build(tops, n_sources, 1, n_sources, fanout, "merkle-top")
     of = W.partitionBy(F.floor(F.col("idx") / fanout))
     above = _linked(tops, 0, fanout).withColumn("up_copies", F.when(F.col("n") > 1, _copies(F.sum("weight").over(of)))).select(F.col("idx").alias("of"), *[F.col(c).alias(f"top_{c}") for c in LINK])
     above = shared.keep(above, "merkle-links")
