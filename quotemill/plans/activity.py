@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from ..functions.calendar import window_bounds
 from ..functions.columns import parse_view_date
 from ..operators.joins import join_fallback
-from ..operators.merges import merge_keep_last, purge_before, refresh_window
+from ..operators.merges import purge_before, refresh_window
 from ..operators.windows import rolling_views_30
-from ..sources.readers import scan_trailing_59d, table_exists
-from ..sources.sinks import replace_table
+from ..sources.readers import scan_trailing_59d
+from ..sources.sinks import sink_merge_keep_last
+from ..sources.versions import load, snapshot
 from .prices import Paths
 
 KEYS = ["asset_id", "view_date", "granularity"]
@@ -26,11 +27,9 @@ def silver_pageview_rows(raw: DataFrame, assets: DataFrame, as_of: date) -> Data
 
 
 def silver_pageviews(spark: SparkSession, paths: Paths, as_of: date) -> None:
-    raw = spark.read.parquet(paths.table("bronze", "pageviews")).where(F.col("view_date") == as_of.strftime("%Y%m%d"))
-    new, target = silver_pageview_rows(raw, spark.read.parquet(paths.table("silver", "assets")), as_of), paths.table("silver", "pageviews")
-    old = spark.read.parquet(target) if table_exists(spark, target) else None
-    replace_table(merge_keep_last(old, new, KEYS, "ingested_ts"), target + ".staged")
-    replace_table(spark.read.parquet(target + ".staged"), target)
+    raw = load(spark, paths.table("bronze", "pageviews")).where(F.col("view_date") == as_of.strftime("%Y%m%d"))
+    new = silver_pageview_rows(raw, load(spark, paths.table("silver", "assets")), as_of)
+    sink_merge_keep_last(new, paths.table("silver", "pageviews"), KEYS, "ingested_ts")
 
 
 def activity_rows(views: DataFrame, as_of: date) -> DataFrame:
@@ -47,9 +46,8 @@ def gold_activity(spark: SparkSession, paths: Paths, as_of: date) -> None:
     views = scan_trailing_59d(spark, paths.table("silver", "pageviews"), as_of)
     if views.isEmpty():
         return
-    target, (start, end) = paths.table("gold", "activity"), window_bounds(as_of, 30)
+    table, (start, end) = snapshot(spark, paths.table("gold", "activity")), window_bounds(as_of, 30)
     rows = activity_rows(views, as_of)
-    if table_exists(spark, target):
-        rows = refresh_window(purge_before(spark.read.parquet(target), "activity_date", start), rows, "activity_date", start, end)
-    replace_table(rows, target + ".staged")
-    replace_table(spark.read.parquet(target + ".staged"), target)
+    if table.exists():
+        rows = refresh_window(purge_before(table.read(), "activity_date", start), rows, "activity_date", start, end)
+    table.replace(rows)

@@ -16,8 +16,9 @@ from ..operators.aggregations import conditional_counts, publisher_domain_mode
 from ..operators.joins import anti_new_publishers, join_news_dims, join_rank
 from ..operators.merges import purge_before, refresh_window
 from ..operators.windows import dedupe_latest_headline, surrogate_ids
-from ..sources.readers import scan_trailing_30d, table_exists
-from ..sources.sinks import replace_table, sink_news_day, swap_table
+from ..sources.readers import scan_trailing_30d
+from ..sources.sinks import sink_news_day
+from ..sources.versions import load, snapshot
 from .prices import Paths
 
 #: Words of the default scorer.
@@ -63,8 +64,8 @@ def silver_news_rows(news: DataFrame, assets: DataFrame, publishers: DataFrame)
 
 def silver_news(spark: SparkSession, paths: Paths, as_of: date) -> DataFrame:
     """Write a day's news and give its counts."""
-    news = spark.read.parquet(paths.table("bronze", "news")).where(F.col("query_date") == F.lit(as_of))
-    rows = silver_news_rows(news, spark.read.parquet(paths.table("silver", "assets")), spark.read.parquet(paths.table("silver", "publishers")))
+    news = load(spark, paths.table("bronze", "news")).where(F.col("query_date") == F.lit(as_of))
+    rows = silver_news_rows(news, load(spark, paths.table("silver", "assets")), load(spark, paths.table("silver", "publishers")))
     sink_news_day(rows, paths.table("silver", "news"), as_of)
     return conditional_counts(rows, ["asset_id", "publisher_id"])
 
@@ -121,10 +122,8 @@ def headline_window(news: DataFrame, stored: DataFrame | None, as_of: date, scor
 
 
 def gold_headlines(spark: SparkSession, paths: Paths, as_of: date, scorer=None) -> None:
-    """Purge, rebuild the last 30 days, and swap the table; the purge takes place without new rows too."""
-    target = paths.table("gold", "headlines")
-    stored = spark.read.parquet(target) if table_exists(spark, target) else None
+    """Purge, rebuild the last 30 days, and commit the next version; the purge takes place without new rows too."""
+    table = snapshot(spark, paths.table("gold", "headlines"))
+    stored = table.read() if table.exists() else None
     news = scan_trailing_30d(spark, paths.table("silver", "news"), as_of).drop("date")
-    rows = headline_window(news, stored, as_of, scorer)
-    replace_table(rows, target + ".staged")
-    swap_table(spark, target + ".staged", target)
+    table.replace(headline_window(news, stored, as_of, scorer))

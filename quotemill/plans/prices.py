@@ -17,6 +17,7 @@ from ..operators.merges import union_history_today
 from ..operators.windows import all_factors, momentum_12_1, pct_below_52w_high
 from ..sources.readers import scan_day_range, scan_month, scan_silver_day, table_exists
 from ..sources.sinks import replace_date_slice, sink_compact_month, sink_replace_day
+from ..sources.versions import load
 
 
 @dataclass
@@ -40,7 +41,7 @@ def silver_bars(bars: DataFrame, assets: DataFrame) -> DataFrame:
 
 def silver_prices(spark: SparkSession, paths: Paths, as_of: date) -> None:
     bars = scan_day_range(spark, paths.table("bronze", "bars"), as_of)
-    sink_replace_day(silver_bars(bars, spark.read.parquet(paths.table("silver", "assets"))), paths.table("silver", "prices"))
+    sink_replace_day(silver_bars(bars, load(spark, paths.table("silver", "assets"))), paths.table("silver", "prices"))
 
 
 def compact_prices(spark: SparkSession, paths: Paths, month: date) -> None:
@@ -76,8 +77,8 @@ def gold_prices_incremental(spark: SparkSession, paths: Paths, as_of: date) -> t
     stored = stored.where(F.col("trade_date") >= F.lit(as_of - timedelta(days=LOOKBACK_DAYS)))
     sentiment = None
     if table_exists(spark, paths.table("gold", "headlines")) and table_exists(spark, paths.table("silver", "publishers")):
-        sentiment = weighted_sentiment_7d(spark.read.parquet(paths.table("gold", "headlines")), spark.read.parquet(paths.table("silver", "publishers")), as_of)
-    active = spark.read.parquet(paths.table("silver", "assets")).where("is_active").select("asset_id")
+        sentiment = weighted_sentiment_7d(load(spark, paths.table("gold", "headlines")), load(spark, paths.table("silver", "publishers")), as_of)
+    active = load(spark, paths.table("silver", "assets")).where("is_active").select("asset_id")
     day = gold_day(scan_silver_day(spark, paths.table("silver", "prices"), as_of), stored, as_of, active, sentiment)
     return replace_date_slice(day, root, as_of)
 

@@ -19,6 +19,7 @@ from ..operators import windows as V
 from ..sources import readers as R
 from ..sources import sinks as S
 from ..sources.scratch import scratch_path
+from ..sources.versions import load
 from . import activity, news, prices, quality, runlog
 from . import adapters as X
 from . import assets as AS
@@ -203,7 +204,7 @@ def _(spark, d):
 def _(spark, d):
     root = _silver_root(spark, d)
     S.sink_replace_day(X.bars(spark, d).where((F.col("timestamp").cast("date") == F.lit(D15)) & (F.col("asset_id") % 2 == 1)), root)
-    return spark.read.parquet(root).groupBy("symbol", F.col("timestamp").cast("date").alias("day")).agg(F.count("*").alias("bars"), F.round(F.sum("close"), 4).alias("total"))
+    return load(spark, root).groupBy("symbol", F.col("timestamp").cast("date").alias("day")).agg(F.count("*").alias("bars"), F.round(F.sum("close"), 4).alias("total"))
 
 
 @query("sink_bronze_symbol_day", "SELECT symbol, CAST(timestamp AS DATE) AS day, count(*) AS bars FROM bars GROUP BY 1, 2", (X.BARS,))
@@ -285,7 +286,7 @@ def _(spark, d):
     path, rows = scratch_path(spark, "table"), X.table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey")
     S.replace_table(rows, path)
     S.replace_table(rows.where("n_regionkey = 1").drop("n_regionkey"), path)
-    return spark.read.parquet(path)
+    return load(spark, path)
 
 
 @query("add_column_if_missing", "SELECT p_partkey, p_size, CAST(NULL AS DOUBLE) AS score, FALSE AS flag FROM part")
@@ -881,7 +882,7 @@ def _(spark, d):
     S.sink_replace_day(X.bars(spark, d).drop("asset_id"), paths.table("bronze", "bars"))
     X.assets(spark, d).write.parquet(paths.table("silver", "assets"))
     prices.silver_prices(spark, paths, D15)
-    return spark.read.parquet(paths.table("silver", "prices")).select("event_id", "symbol", "asset_id")
+    return load(spark, paths.table("silver", "prices")).select("event_id", "symbol", "asset_id")
 
 
 @query("compact_prices", "SELECT symbol, count(*) AS bars, max(timestamp) IS NULL AS none FROM bars WHERE timestamp < TIMESTAMP '2024-02-01' GROUP BY symbol", (X.BARS,))
@@ -960,7 +961,7 @@ def _(spark, d):
     paths = _paths(spark)
     X.news(spark, d).withColumn("date", F.col("query_date")).write.partitionBy("date").parquet(paths.table("silver", "news"))
     news.gold_headlines(spark, paths, D30)
-    return spark.read.parquet(paths.table("gold", "headlines")).select("doc_id", "symbol", "sentiment")
+    return load(spark, paths.table("gold", "headlines")).select("doc_id", "symbol", "sentiment")
 
 
 @query("score_sentiment", f"SELECT doc_id, {_LABEL} FROM words", (X.NEWS, _LISTS.format("news")))
@@ -985,7 +986,7 @@ def _(spark, d):
     raw.write.parquet(paths.table("bronze", "pageviews"))
     X.assets(spark, d).write.parquet(paths.table("silver", "assets"))
     activity.silver_pageviews(spark, paths, D15)
-    return spark.read.parquet(paths.table("silver", "pageviews")).where("asset_id IS NOT NULL").select("asset_id", "view_date", "views")
+    return load(spark, paths.table("silver", "pageviews")).where("asset_id IS NOT NULL").select("asset_id", "view_date", "views")
 
 
 @query("gold_activity", "SELECT asset_id, activity_date, views, round(views_30d_avg, 6) AS views_30d_avg, round(views / nullif(views_30d_avg, 0), 6) AS views_vs_30d_avg FROM rolling WHERE activity_date BETWEEN DATE '2024-01-30' - 29 AND DATE '2024-01-30'", (X.VIEWS, _ROLLING))
@@ -994,7 +995,7 @@ def _(spark, d):
     X.views(spark, d).write.parquet(paths.table("silver", "pageviews"))
     activity.gold_activity(spark, paths, D30)
     activity.gold_activity(spark, paths, D30)
-    out = spark.read.parquet(paths.table("gold", "activity"))
+    out = load(spark, paths.table("gold", "activity"))
     return out.select("asset_id", "activity_date", "views", F.round("views_30d_avg", 6).alias("views_30d_avg"), F.round("views_vs_30d_avg", 6).alias("views_vs_30d_avg"))
 
 

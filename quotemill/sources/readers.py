@@ -12,11 +12,13 @@ from .. import schemas
 from ..functions.calendar import window_bounds
 from ..functions.columns import article_title, epoch_to_ts, norm_symbol
 from ..operators.aggregations import dedupe_active_assets
+from .versions import snapshot
 
 
 def scan_day_range(spark: SparkSession, root: str, as_of: date, ts: str = "timestamp", day: str = "date") -> DataFrame:
     """One day's partition, and of it the rows of [day, day + 1)."""
-    return day_range(spark.read.parquet(root), as_of, ts, day)
+    table = snapshot(spark, root)
+    return day_range(table.read(as_of, as_of + timedelta(days=1)) if table.by == day else table.read(), as_of, ts, day)
 
 
 def day_range(df: DataFrame, as_of: date, ts: str, day: str | None = None) -> DataFrame:
@@ -31,14 +33,13 @@ def scan_active_bars(bars: DataFrame, assets: DataFrame) -> DataFrame:
 
 
 def scan_silver_day(spark: SparkSession, root: str, as_of: date, day: str = "date") -> DataFrame:
-    return spark.read.parquet(root).where(F.col(day) == F.lit(as_of))
+    return snapshot(spark, root).between(day, as_of, as_of + timedelta(days=1))
 
 
 def scan_month(spark: SparkSession, root: str, month: date, day: str = "date") -> DataFrame:
     """All days of the month."""
     first = month.replace(day=1)
-    last = (first + timedelta(days=32)).replace(day=1) - timedelta(days=1)
-    return spark.read.parquet(root).where(F.col(day).between(F.lit(first), F.lit(last)))
+    return snapshot(spark, root).between(day, first, (first + timedelta(days=32)).replace(day=1))
 
 
 def scan_trailing(df: DataFrame, as_of: date, days: int, day: str) -> DataFrame:
@@ -48,16 +49,17 @@ def scan_trailing(df: DataFrame, as_of: date, days: int, day: str) -> DataFrame:
 
 
 def scan_trailing_30d(spark: SparkSession, root: str, as_of: date, day: str = "date") -> DataFrame:
-    return scan_trailing(spark.read.parquet(root), as_of, 30, day)
+    return snapshot(spark, root).between(day, *window_bounds(as_of, 30))
 
 
 def scan_trailing_59d(spark: SparkSession, root: str, as_of: date, day: str = "view_date") -> DataFrame:
     """30 days of output and the 29 before that their windows need."""
-    return scan_trailing(spark.read.parquet(root), as_of, 59, day)
+    return snapshot(spark, root).between(day, *window_bounds(as_of, 59))
 
 
 def _view(spark: SparkSession, root: str, names: tuple[str, ...]) -> DataFrame:
-    df = spark.read.option("mergeSchema", "true").parquet(root)
+    table = snapshot(spark, root)
+    df = spark.read.option("mergeSchema", "true").parquet(root) if table.plain else table.read()
     for name in names:
         df.createOrReplaceTempView(name)
     return df

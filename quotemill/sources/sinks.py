@@ -1,16 +1,19 @@
-"""Writers. Days are replaced by dynamic partition overwrite, whose commit comes last:
-a failed write leaves the old slice. A concurrent reader may see the short gap of the commit's renames.
+"""Writers. Bars and merged tables are versioned (`versions`): readers see the old or the new
+table, and of two writers of the same rows one is refused. Leaves of other tables are replaced
+by dynamic partition overwrite, whose commit comes last: a failed write leaves the old slice,
+but a concurrent reader may see the short gap of the commit's renames.
 """
 
 from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.merges import merge_keep_last
 from .readers import table_exists
+from .versions import snapshot
 
 
 def _dynamic(df: DataFrame, root: str, by: list[str]) -> None:
@@ -18,10 +21,10 @@ def _dynamic(df: DataFrame, root: str, by: list[str]) -> None:
 
 
 def sink_replace_day(df: DataFrame, root: str, day: str = "date", cluster: str = "symbol", ts: str = "timestamp") -> None:
-    """Replace the days in `df`, clustered by symbol; symbols no longer there go. Rows without a readable time are dropped; an empty frame changes nothing."""
+    """Replace the days in `df` as one new version, clustered by symbol; symbols no longer there go. Rows without a readable time are dropped; an empty frame changes nothing."""
     rows = df.where(F.col(ts).isNotNull()).withColumn(day, F.col(ts).cast("date"))
     parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    _dynamic(rows.repartition(parts, day, cluster).sortWithinPartitions(day, cluster, ts), root, [day])
+    snapshot(df.sparkSession, root).replace_parts(rows.repartition(parts, day, cluster).sortWithinPartitions(day, cluster, ts), day)
 
 
 def sink_bronze_symbol_day(df: DataFrame, root: str, day: str = "date", symbol: str = "symbol") -> None:
@@ -41,17 +44,14 @@ def sink_news_day(df: DataFrame, root: str, as_of: date, day: str = "date") -> N
 
 
 def sink_merge_keep_last(new: DataFrame, path: str, keys: list[str], seq: str, part: str | None = None) -> DataFrame:
-    """Merge with what is at `path` and overwrite it; with `part`, only the partitions of that column that `new` has."""
-    spark = new.sparkSession
-    old = spark.read.parquet(path) if table_exists(spark, path) else None
+    """Merge with the table at `path` and commit a new version, refused if another writer came first; with `part`, only the partitions of that column that `new` has."""
+    table = snapshot(new.sparkSession, path)
+    old = table.read() if table.exists() else None
     if part is None:
-        replace_table(merge_keep_last(old, new, keys, seq), f"{path}.staged")  # an overwrite can't read its own path
-        swap_table(spark, f"{path}.staged", path)
-    else:
-        if old is not None:
-            old = old.join(new.select(part).distinct(), part, "left_semi").select(*new.columns)
-        _dynamic(merge_keep_last(old, new, keys, seq), path, [part])
-    return spark.read.parquet(path)
+        return table.replace(merge_keep_last(old, new, keys, seq)).read()
+    if old is not None:
+        old = old.join(new.select(part).distinct(), part, "left_semi").select(*new.columns)
+    return table.replace_parts(merge_keep_last(old, new, keys, seq), part).read()
 
 
 def replace_date_slice(df: DataFrame, root: str, as_of: date, day: str = "trade_date") -> tuple[int, int]:
@@ -70,22 +70,9 @@ def replace_date_slice(df: DataFrame, root: str, as_of: date, day: str = "trade_
     return count, deleted
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-
-
-def swap_table(spark: SparkSession, staged: str, path: str) -> None:
-    """Put a written table in the place of another by renames; until the last one the old rows are at `path` or `path`.old."""
-    of = spark._jvm.org.apache.hadoop.fs.Path
-    target, old, new = of(path), of(f"{path}.old"), of(staged)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(target):
-        fs.delete(old, True)
-        if not fs.rename(target, old):
-            raise OSError(f"can't move {path}")
-    if not fs.rename(new, target):
-        raise OSError(f"can't move {staged}")
-    fs.delete(old, True)
+def replace_table(df: DataFrame, path: str) -> DataFrame:
+    """Commit `df` as the next version of the whole table; gives its rows."""
+    return snapshot(df.sparkSession, path).replace(df).read()
 
 
 def append_log(df: DataFrame, path: str) -> None:
