@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -166,8 +167,11 @@ def fields_int(fields: Column, *aliases: str) -> Column:
     return F.coalesce(*map(whole, aliases))
 
 
-def check_id() -> Column:
-    return F.uuid()
+def check_id(*names: str | None) -> Column:
+    """A random id; with names one that they alone decide, so that a repeated run gives its rows the same ids."""
+    if not names:
+        return F.uuid()
+    return F.lit(str(uuid.uuid5(uuid.NAMESPACE_OID, "\x1f".join("" if n is None else n for n in names))))
 
 
 def add_column_if_missing(df: DataFrame, name: str, dtype, fill=None) -> DataFrame:

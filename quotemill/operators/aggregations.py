@@ -95,11 +95,11 @@ def range_violations(df: DataFrame, rules: list[Column]) -> DataFrame:
 
 
 def market_breadth(day: DataFrame) -> DataFrame:
-    """Shares of rising assets and of those above their averages, in percent, over rows with a return."""
+    """Shares of rising assets and of those above their averages, in percent, over rows with a return; rows without a close or an average don't count for its share, which is null where none has one."""
     rows = day.where(F.col("returns_1d").isNotNull())
-    share = lambda c: F.avg(F.when(c, 100.0).otherwise(0.0))
-    above = lambda c: F.coalesce(F.col(c) > 0, F.lit(False))
-    return rows.agg(share(F.col("returns_1d") > 0).alias("pct_up"), share(above("dist_sma_50")).alias("pct_above_sma_50"), share(above("dist_sma_200")).alias("pct_above_sma_200"), F.count("*").alias("universe"))
+    share = lambda c: F.avg(F.when(c, 100.0).when(~c, 0.0))
+    above = lambda n: share(F.col("close") > F.col(f"sma_{n}"))
+    return rows.agg(share(F.col("returns_1d") > 0).alias("pct_up"), above(50).alias("pct_above_sma_50"), above(200).alias("pct_above_sma_200"), F.count("*").alias("universe"))
 
 
 def concentration_impact(day: DataFrame, symbols: set[str]) -> DataFrame:

@@ -553,7 +553,7 @@ def _slice(spark, d) -> DataFrame:
     return P.latest_slice(_gold(spark, d))
 
 
-@query("market_breadth", "SELECT trade_date IS NULL AS x, round(avg(CASE WHEN returns_1d > 0 THEN 100.0 ELSE 0 END), 6) AS pct_up, round(avg(CASE WHEN dist_sma_50 > 0 THEN 100.0 ELSE 0 END), 6) AS pct_above_sma_50, round(avg(CASE WHEN dist_sma_200 > 0 THEN 100.0 ELSE 0 END), 6) AS pct_above_sma_200, count(*) AS universe FROM slice WHERE returns_1d IS NOT NULL GROUP BY 1", (X.FACTORS,))
+@query("market_breadth", "SELECT trade_date IS NULL AS x, round(avg(CASE WHEN returns_1d > 0 THEN 100.0 ELSE 0 END), 6) AS pct_up, round(avg(CASE WHEN close > sma_50 THEN 100.0 WHEN close <= sma_50 THEN 0 END), 6) AS pct_above_sma_50, round(avg(CASE WHEN close > sma_200 THEN 100.0 WHEN close <= sma_200 THEN 0 END), 6) AS pct_above_sma_200, count(*) AS universe FROM slice WHERE returns_1d IS NOT NULL GROUP BY 1", (X.FACTORS,))
 def _(spark, d):
     return A.market_breadth(_slice(spark, d)).select(F.lit(False).alias("x"), *[F.round(c, 6).alias(c) for c in ("pct_up", "pct_above_sma_50", "pct_above_sma_200")], "universe")
 
@@ -1085,6 +1085,9 @@ _CHECK_SQL = {
     "dq_bronze_tranco_ranges": (_STATUS, "YELLOW", 0, "SELECT count(*) FILTER (rank < 1 OR rank > 1000000 OR trim(domain) = '') AS measured FROM ranks", (X.HOSTS, X.RANKS)),
     "dq_silver_assets_uniqueness_asset_id_and_symbol": (_STATUS, "RED", 0, f"SELECT (SELECT measured FROM ({_EXCESS.format('assets', 'asset_id')})) + (SELECT measured FROM ({_EXCESS.format('assets', 'upper(trim(symbol))')})) AS measured", (X.ASSETS,)),
     "dq_silver_assets_null_thresholds": (_STATUS, "RED", 0, "SELECT count(*) FILTER (asset_id IS NULL OR is_active IS NULL) / count(*) AS measured FROM assets", (X.ASSETS,)),
+    "dq_daily_prices_missing_partition": (_LEAST, "YELLOW", 1, "SELECT count(*) AS measured FROM bars", (X.BARS,)),
+    "dq_daily_news_missing_partition": (_LEAST, "YELLOW", 1, "SELECT count(*) AS measured FROM news", (X.NEWS,)),
+    "dq_wikipedia_activity_missing_partition": (_LEAST, "YELLOW", 1, "SELECT count(*) AS measured FROM views", (X.VIEWS,)),
     "prices_active_symbol_coverage": (_STATUS, "RED", 0, "SELECT count(*) AS measured FROM missing", (X.BARS, X.ASSETS, _MISSING)),
     "wikipedia_assets_with_views_min_count": (_LEAST, "YELLOW", 400, "SELECT count(DISTINCT asset_id) AS measured FROM views", (X.VIEWS,)),
     "daily_news_partition_row_count": (_LEAST, "YELLOW", 1, "SELECT count(*) AS measured FROM news", (X.NEWS,)),
@@ -1117,9 +1120,6 @@ _SHAPE_CHECKS = [
     ("dq_silver_ref_sp500_schema_required_columns", "YELLOW", 0.0, 0.0, "constituents", "constituents", (X.CONSTITUENTS,)),
     ("dq_silver_assets_table_exists", "RED", 1.0, 1.0, "assets", "assets", (X.ASSETS,)),
     ("dq_silver_assets_schema_required_columns", "RED", 0.0, 0.0, "assets", "assets", (X.ASSETS,)),
-    ("dq_daily_prices_missing_partition", "YELLOW", None, None, "silver_prices", "bars", (X.BARS,)),
-    ("dq_daily_news_missing_partition", "YELLOW", None, None, "silver_news", "news", (X.NEWS,)),
-    ("dq_wikipedia_activity_missing_partition", "YELLOW", None, None, "silver_pageviews", "views", (X.VIEWS,)),
 ]
 
 
