@@ -20,7 +20,7 @@ from ..sources import readers as R
 from ..sources import sinks as S
 from ..sources.scratch import scratch_path
 from ..sources.versions import load
-from . import activity, news, prices, quality, runlog
+from . import activity, news, prices, quality, runlog, state
 from . import adapters as X
 from . import assets as AS
 
@@ -920,6 +920,14 @@ def _(spark, d):
     return out.select("asset_id", "trade_date", "close", *map(rounded, ("returns_1d", "sma_50", "realized_vol_21d")))
 
 
+@query("gold_prices_state", f"SELECT asset_id, trade_date, {', '.join(map(rounded_sql, _GOLD_COLS))} FROM gold WHERE trade_date = DATE '1997-06-02'", (X.FACTORS,))
+def _(spark, d):
+    """One day's factors from the state that all days before it give."""
+    rows, day = X.daily(spark, d), date(1997, 6, 2)
+    kept = state.build_state(rows.where(F.col("trade_date") < F.lit(day)), day - timedelta(days=1))
+    return state.state_factors(rows.where(F.col("trade_date") == F.lit(day)), kept).select("asset_id", "trade_date", *map(rounded, _GOLD_COLS))
+
+
 @query("backfill_momentum", "SELECT asset_id, trade_date, round(CASE WHEN asset_id % 2 = 0 THEN 9 ELSE momentum_12_1 END, 6) AS momentum_12_1 FROM gold", (X.FACTORS,))
 def _(spark, d):
     rows = X.daily(spark, d).withColumn("momentum_12_1", F.when(F.col("asset_id") % 2 == 0, 9.0))
