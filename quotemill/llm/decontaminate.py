@@ -11,7 +11,9 @@ and that of the item's answer (what follows the last "Answer:", else its last fi
 spread thin by other text between its words can lie below the gate in every window.
 
 A match has lcs >= `accept`, or lcs >= `similar` and the answer found. Words are runs of
-letters and digits of the lower-cased text. A null or empty text, or an item without
+letters, digits and marks of the lower-cased text, by Unicode; scripts without blanks (Han,
+kana, Thai and others) count each pair of neighbouring characters as a word; quotes, dashes and
+other signs only part words. A null or empty text, or an item without
 words, matches nothing; an item of one or two words matches wherever its words stand in
 order and pass the gate. Repeated rows match alike, and of windows with an equal longest
 subsequence the first is given. Texts and items are read whole, however long; only the
@@ -44,6 +46,8 @@ LATENT = 40
 #: Part of the expected cosine of a copy that the gate asks for: its words' idf differ.
 SLACK = 0.8
 CELLS = 1 << 22
+#: All but the characters of scripts without blanks.
+UNSPACED = r"[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
 
 
 def _normal(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -280,7 +284,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.4, simil
     """doc_id, text_key (hash of the text), item_id, cosine, lcs, answer and word (where the window starts) of every match."""
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text"))
-    n_words = F.size(F.split(F.coalesce("text", F.lit("")), r"[\s\p{Punct}]+"))
+    held = F.coalesce("text", F.lit(""))
+    n_words = F.size(F.split(held, r"[^\p{L}\p{M}\p{N}]+")) + F.length(F.regexp_replace(held, UNSPACED, ""))
     passages = items.agg(F.coalesce(F.sum(F.greatest(F.lit(1), F.ceil(n_words / (CUT // 2)) - 1)), F.lit(0))).first()[0]
     blocks = max(1, -(-passages // block))
     dealt = shared.keep(items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).cast("int")), "items")

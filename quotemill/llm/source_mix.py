@@ -118,28 +118,29 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), m
     return pieces, schedule(targets, block)
 
 
-def mix_digest(pieces: DataFrame, slots: DataFrame, block: int = 1024) -> DataFrame:
-    """A row for each document: doc_id, size, source_size, target, taken, and copies (epochs that take its first word; 1 for a text without words)."""
+def mix_digest(pieces: DataFrame, slots: DataFrame, block: int = 1024, carry: tuple[str, ...] = ()) -> DataFrame:
+    """A row for each document, with `carry` of its columns: doc_id, size, source_size, target, taken, and copies (epochs that take its first word; 1 for a text without words)."""
     begin, end = F.greatest("begin", F.col("block") * block), F.least(F.col("begin") + F.col("size"), (F.col("block") + 1) * block)
     got = F.when(F.col("upto").isNotNull(), F.greatest(F.least(end, F.col("upto")) - begin, F.lit(0)))
     first = (F.col("begin") >= F.col("block") * block) & (F.col("upto") > F.col("begin"))
     joined = pieces.join(slots.select("ord", "block", "upto"), ["ord", "block"], "left")
     return (
-        joined.groupBy("ord", "_bucket", "rn", "doc_id", "row_hash", "size", "source_size", "target")
+        joined.groupBy("ord", "_bucket", "rn", "doc_id", "row_hash", "size", "source_size", "target", *carry)
         .agg(F.coalesce(F.sum(got), F.lit(0)).cast("long").alias("taken"), F.coalesce(F.sum(F.when(first, 1).otherwise(0)), F.lit(0)).alias("_copies"))
-        .select("doc_id", "row_hash", "size", "source_size", "target", "taken", F.when(F.col("size") == 0, 1).otherwise(F.col("_copies")).cast("int").alias("copies"))
+        .select(*carry, "doc_id", "row_hash", "size", "source_size", "target", "taken", F.when(F.col("size") == 0, 1).otherwise(F.col("_copies")).cast("int").alias("copies"))
     )
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix as rows of `docs`: each document as often as an epoch takes it; columns as given."""
     block = options.get("block", 1024)
-    digest = mix_digest(*mix_sources(docs, **options), block)
-    same = W.partitionBy("doc_id", "row_hash")
-    counts = digest.withColumn("row_no", F.row_number().over(same.orderBy(F.desc("copies")))).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("row_hash").alias("_hash"), F.col("row_no").alias("_no"), F.col("copies").alias("_copies_of"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", F.xxhash64("text").alias("hash"))
-    rows = rows.withColumn("no", F.row_number().over(W.partitionBy("doc_id", "hash").orderBy(F.xxhash64("row"))))
-    joined = rows.join(counts, rows["doc_id"].eqNullSafe(counts["_id"]) & (F.col("hash") == F.col("_hash")) & (F.col("no") == F.col("_no")))
+    digest = mix_digest(*mix_sources(docs, **options), block, ("source",))
+    same = W.partitionBy("source", "doc_id", "row_hash")
+    counts = digest.withColumn("row_no", F.row_number().over(same.orderBy(F.desc("copies")))).where("copies > 0")
+    counts = counts.select(F.col("source").alias("_source"), F.col("doc_id").alias("_id"), F.col("row_hash").alias("_hash"), F.col("row_no").alias("_no"), F.col("copies").alias("_copies_of"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[F.col(f"`{options.get(c, c)}`").alias(c) for c in ("source", "doc_id")], F.xxhash64(options.get("text", "text")).alias("hash"))
+    rows = rows.withColumn("no", F.row_number().over(W.partitionBy("source", "doc_id", "hash").orderBy(F.xxhash64("row"))))
+    joined = rows.join(counts, rows["source"].eqNullSafe(counts["_source"]) & rows["doc_id"].eqNullSafe(counts["_id"]) & (F.col("hash") == F.col("_hash")) & (F.col("no") == F.col("_no")))
     return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("_copies_of")))).select("row.*")
 
 

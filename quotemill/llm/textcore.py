@@ -6,6 +6,9 @@ table modulo 2**64 with a final mix, so it depends on the word alone.
 
 from __future__ import annotations
 
+import unicodedata
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,7 +20,11 @@ _TABLE[[9, 10, 11, 12, 13, 32]] = 0
 _LOWERED = _TABLE.copy()
 _LOWERED[65:91] = _TABLE[97:123]
 _PLAIN = _TABLE.copy()
-_PLAIN[[c for c in range(33, 127) if not chr(c).isalnum()]] = 0
+_PLAIN[[c for c in range(128) if not chr(c).isalnum()]] = 0
+#: Code points of scripts that set no blanks between words (fixed values): Thai and Lao, Tibetan, Myanmar, Khmer, kana, Han.
+UNSPACED = [(0x0E00, 0x0EFF), (0x0F00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3347F)]
+#: Kinds of characters: between words, of words, of words that are cut into pairs, of none (they join what is around them).
+BETWEEN, WORD, PAIRED, NONE = range(4)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS = [np.ones(0, np.uint64), np.ones(0, np.uint64)]
 
@@ -69,9 +76,51 @@ def _cuts(data: np.ndarray, offsets: np.ndarray):
         a = b
 
 
+@cache
+def _kinds() -> np.ndarray:
+    """The kind of each code point, by its Unicode category."""
+    by_category = {"L": WORD, "M": WORD, "N": WORD}
+    kinds = np.array([NONE if (c := unicodedata.category(chr(i))) == "Cf" else by_category.get(c[0], BETWEEN) for i in range(0x110000)], np.uint8)
+    for a, b in UNSPACED:
+        part = kinds[a : b + 1]
+        part[part == WORD] = PAIRED
+    return kinds
+
+
+def spaced(text: str) -> str:
+    """The text with one form for equivalent characters, a blank for every character between words, and the words of unspaced scripts as pairs of neighbours."""
+    points = np.frombuffer(unicodedata.normalize("NFKC", text).lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    kinds = _kinds()[points]
+    points, kinds = points[kinds != NONE], kinds[kinds != NONE]
+    if not len(points):
+        return ""
+    paired = kinds == PAIRED
+    before, after = np.concatenate(([False], paired[:-1])), np.concatenate((paired[1:], [False]))
+    following = np.concatenate((points[1:], [32])).astype(np.uint32)
+    # three places a character: itself, its neighbour, a blank; the last of several stands only in the pair before
+    out = np.zeros((len(points), 4), np.uint32)
+    out[:, 1] = np.where(kinds == BETWEEN, 32, points)
+    out[paired & ~before, 0] = 32
+    out[paired & after, 2] = following[paired & after]
+    out[paired, 3] = 32
+    out[paired & before & ~after] = 0
+    return out[out != 0].tobytes().decode("utf-32-le", "surrogatepass")
+
+
 def plain_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the runs of characters other than ASCII white space and punctuation, and their number in each row."""
-    return word_hashes(*text_bytes(column), table=_PLAIN)
+    """Hashes of the words of each row, and their number.
+
+    Words are runs of letters, digits and marks by their Unicode category; in scripts that
+    set no blanks, each pair of neighbouring characters is one. Format characters (soft
+    hyphens, joiners) don't count. Text of ASCII alone, which has none of this, is hashed as it is.
+    """
+    data, offsets = text_bytes(column)
+    foreign = np.concatenate(([0], np.cumsum(data >= 128)))
+    if foreign[-1]:
+        raw = data.tobytes()
+        rows = [raw[a:b] if foreign[a] == foreign[b] else spaced(raw[a:b].decode("utf-8", "replace")).encode("utf-8", "replace") for a, b in zip(offsets[:-1], offsets[1:])]
+        data, offsets = np.frombuffer(b"".join(rows), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int64)
+    return word_hashes(data, offsets, table=_PLAIN)
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray, table: np.ndarray = None) -> tuple[np.ndarray, np.ndarray]:

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quotemill.llm import shared, source_mix, token_files, url_filter
 
@@ -92,3 +93,17 @@ def test_token_round_trip(spark):
     assert ids.to_pylist()[: sum(mask.to_pylist())] == flat[: min(128, first.n_tokens)] and len(ids) == 128
     empty = token_files.token_index(spark, docs.limit(0), token_files.default_tokenizer())
     assert empty.count() == 0
+
+
+def test_mixed_rows_have_the_words_of_the_digest_source_by_source(spark):
+    """Rows that stand in two sources are told apart by their source."""
+    rows = [(k, " ".join(["w"] * (20 + k % 60)), "en", "a", 1) for k in range(700)]
+    rows += [(k, " ".join(["w"] * (20 + k % 60)), "en", "c", 1) for k in range(100)] + [(5, "w w", "en", None, 1), (5, "w w", "en", None, 1)]
+    docs = documents(spark, rows)
+    digest = source_mix.mix_digest(*source_mix.mix_sources(docs), carry=("source",))
+    words = F.sum(F.col("size") * F.col("copies")).alias("n")
+    want = {r.source: r.n for r in digest.groupBy("source").agg(words).collect()}
+    got = {r.source: r.n for r in source_mix.mixed_documents(docs).groupBy("source").agg(F.sum(source_mix.word_count(F.col("text"))).alias("n")).collect()}
+    assert got == want and len(want) == 3
+    targets = {r.source: r.target for r in source_mix.source_targets(docs.select("source", source_mix.word_count(F.col("text")).alias("size"))).collect()}
+    assert all(abs(got[s] - targets[s]) < 1200 for s in targets)
