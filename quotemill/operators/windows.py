@@ -1,6 +1,12 @@
 """Window features over one series per asset. Frames count rows, not days.
 
 All factors share one partitioning and order, so a chain of them is one exchange and one sort.
+
+Wide frames are tiled. A sliding frame of Spark reads all its rows again for each row; a
+tiled one takes the value of a narrow frame and combines it with the same value some rows
+back, level by level: 252 rows are six tiles of 42, these six of 7. So a row costs a few
+lags a level, a number that grows with the logarithm of the width. The value depends on the
+frame's rows alone, to the last bit, wherever the series begins. Null values don't count.
 """
 
 from __future__ import annotations
@@ -23,6 +29,78 @@ def _last(n: int, by: str = BY, order: str = ORDER):
     return _w(by, order).rowsBetween(1 - n, 0)
 
 
+#: Tiles a level, and the widest frame that is read whole.
+TILES, NARROW = 6, 8
+
+
+def _tiles(n: int) -> list[tuple[int, int]]:
+    """Levels of a frame of n rows, narrowest first: (width, oldest rows outside its tiles)."""
+    levels = []
+    while n > NARROW:
+        levels.append((n, n % TILES))
+        n //= TILES
+    return [(n, 0), *reversed(levels)]
+
+
+def _tiled(df: DataFrame, widths: dict[str, int], base: Column, narrow, merge, by: str, order: str) -> DataFrame:
+    """Add a column of each name with `base` over the last rows of that width.
+
+    `narrow` is the aggregate of a narrow frame, `merge` folds values from the oldest to the
+    newest. Levels of all widths that don't need each other are made side by side.
+    """
+    ladders = {name: _tiles(n) for name, n in widths.items()}
+    at = lambda name, level: f"_{name}_{level}"
+    rows = df.withColumn("_base", base)
+    rows = rows.withColumns({at(name, 0): narrow("_base").over(_last(steps[0][0], by, order)) for name, steps in ladders.items()})
+    for level in range(1, max(map(len, ladders.values()))):
+        made = {}
+        for name, steps in ladders.items():
+            if level < len(steps):
+                width, rest = steps[level]
+                tile = steps[level - 1][0]
+                single = [F.lag("_base", k).over(_w(by, order)) for k in range(width - 1, width - 1 - rest, -1)]
+                made[at(name, level)] = merge([*single, *[F.lag(at(name, level - 1), k * tile).over(_w(by, order)) for k in range(TILES - 1, 0, -1)], F.col(at(name, level - 1))])
+        rows = rows.withColumns(made)
+    spent = [at(name, level) for name, steps in ladders.items() for level in range(len(steps))]
+    return rows.withColumns({name: F.col(at(name, len(steps) - 1)) for name, steps in ladders.items()}).drop("_base", *spent)
+
+
+def sliding_max(df: DataFrame, column: str, widths: dict[str, int], by: str = BY, order: str = ORDER) -> DataFrame:
+    """Largest value of the last rows, a column for each name and width; null where all are null."""
+    return _tiled(df, widths, F.col(column), F.max, lambda c: F.greatest(*c), by, order)
+
+
+def _added(columns: list[Column]) -> Column:
+    total = F.lit(0.0)
+    for c in columns:
+        total = total + F.coalesce(c, F.lit(0.0))
+    return total
+
+
+def sliding_mean(df: DataFrame, column: str, widths: dict[str, int], by: str = BY, order: str = ORDER) -> DataFrame:
+    """Mean of the last rows, a column for each name and width; null where all are null.
+
+    Sums are tiled; the number of values is a difference of running counts, which are whole.
+    """
+    sums = {f"_sum_{name}": n for name, n in widths.items()}
+    rows = _tiled(df, sums, F.coalesce(F.col(column).cast("double"), F.lit(0.0)), F.sum, _added, by, order)
+    rows = rows.withColumn("_seen", F.count(column).over(_w(by, order).rowsBetween(W.unboundedPreceding, 0)))
+    count = lambda n: F.col("_seen") - F.coalesce(F.lag("_seen", n).over(_w(by, order)), F.lit(0))
+    rows = rows.withColumns({f"_count_{name}": count(n) for name, n in widths.items()})
+    # no values give 0 of 0
+    means = {name: F.try_divide(F.col(f"_sum_{name}"), F.col(f"_count_{name}")) for name in widths}
+    return rows.withColumns(means).drop("_seen", *sums, *[f"_count_{name}" for name in widths])
+
+
+def tiled_sum(values: Column, n: int) -> Column:
+    """Sum of an array of n doubles without nulls, added in the order of `sliding_mean`'s tiles."""
+    if n <= NARROW:
+        return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+    rest, tile = n % TILES, n // TILES
+    start = F.aggregate(F.slice(values, 1, rest), F.lit(0.0), lambda a, x: a + x)
+    return F.aggregate(F.sequence(F.lit(0), F.lit(TILES - 1)), start, lambda a, k: a + tiled_sum(F.slice(values, k * tile + rest + 1, tile), tile))
+
+
 def _return(k: int, close: str = "close") -> Column:
     return F.try_divide(F.col(close), F.lag(close, k).over(_w())) - 1
 
@@ -37,16 +115,16 @@ def momentum_12_1(df: DataFrame) -> DataFrame:
 
 
 def high_52w(df: DataFrame) -> DataFrame:
-    return df.withColumn("high_52w", F.max("close").over(_last(252)))
+    return sliding_max(df, "close", {"high_52w": 252})
 
 
 def pct_below_52w_high(df: DataFrame) -> DataFrame:
-    high = F.max("close").over(_last(252))
-    return df.withColumn("pct_below_52w_high", F.try_divide(high - F.col("close"), high))
+    rows = sliding_max(df, "close", {"_high": 252})
+    return rows.withColumn("pct_below_52w_high", F.try_divide(F.col("_high") - F.col("close"), F.col("_high"))).drop("_high")
 
 
 def sma(df: DataFrame, n: int) -> DataFrame:
-    return df.withColumn(f"sma_{n}", F.avg("close").over(_last(n)))
+    return sliding_mean(df, "close", {f"sma_{n}": n})
 
 
 def sma_50(df: DataFrame) -> DataFrame:
@@ -78,14 +156,10 @@ def rolling_vol_full_window(df: DataFrame, n: int = 21) -> DataFrame:
 
 def all_factors(df: DataFrame) -> DataFrame:
     """Every price factor, in one partitioning: the first level over closes, then those over its columns."""
-    high = F.max("close").over(_last(252))
-    first = {f"returns_{k}d": _return(k) for k in (1, 5, 21)} | {
-        "momentum_12_1": F.try_divide(F.lag("close", 21).over(_w()), F.lag("close", 252).over(_w())) - 1,
-        "_high": high,
-        "sma_50": F.avg("close").over(_last(50)),
-        "sma_200": F.avg("close").over(_last(200)),
-    }
-    rows = df.withColumns(first)
+    first = {f"returns_{k}d": _return(k) for k in (1, 5, 21)}
+    first["momentum_12_1"] = F.try_divide(F.lag("close", 21).over(_w()), F.lag("close", 252).over(_w())) - 1
+    rows = sliding_max(df.withColumns(first), "close", {"_high": 252})
+    rows = sliding_mean(rows, "close", {"sma_50": 50, "sma_200": 200})
     rows = rows.withColumn("realized_vol_21d", F.stddev_samp("returns_1d").over(_last(21)) * F.sqrt(F.lit(252.0)))
     close = F.col("close")
     return rows.withColumns({

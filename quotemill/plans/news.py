@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.calendar import window_bounds
-from ..functions.columns import DEFAULT_WEIGHT, PUBLISHER_DOMAINS, blank_to_null, headline_text, publisher_domain, rank_to_weight
+from ..functions.columns import DEFAULT_WEIGHT, PUBLISHER_DOMAINS, base_domain, blank_to_null, headline_text, norm_publisher, publisher_domain, rank_to_weight
 from ..operators.aggregations import conditional_counts, publisher_domain_mode
 from ..operators.joins import anti_new_publishers, join_news_dims, join_rank
 from ..operators.merges import purge_before, refresh_window
 from ..operators.windows import dedupe_latest_headline, surrogate_ids
-from ..sources.readers import scan_trailing_30d
+from ..sources.readers import scan_trailing_30d, table_exists
 from ..sources.sinks import sink_news_day
 from ..sources.versions import load, snapshot
 from .prices import Paths
@@ -70,15 +70,32 @@ def silver_news(spark: SparkSession, paths: Paths, as_of: date) -> DataFrame:
     return conditional_counts(rows, ["asset_id", "publisher_id"])
 
 
-def overrides_table(spark: SparkSession, more: DataFrame | None = None) -> DataFrame:
-    """Known domains by normalized name (publisher_name_norm, override_domain); `more` wins."""
+def overrides_table(spark: SparkSession, more: DataFrame | None = None, order: str | None = None) -> DataFrame:
+    """Known domains by normalized name (publisher_name_norm, override_domain).
+
+    `more` (publisher_name, publisher_domain) wins over the built-in ones. Its names and
+    domains may be as people write them: names are trimmed and lower-cased, domains cut to
+    their base. Rows without either are left out; of several rows of a name the last by
+    `order` stays, without an order the greatest domain. A table without these two columns
+    changes nothing.
+    """
     rows = spark.createDataFrame(list(PUBLISHER_DOMAINS.items()), "publisher_name_norm string, override_domain string")
-    if more is None:
+    rows = rows.withColumn("override_domain", base_domain("override_domain"))
+    if more is None or not {"publisher_name", "publisher_domain"} <= set(more.columns):
         return rows
-    own = more.select("publisher_name_norm", "override_domain").where("override_domain <> ''")
+    own = more.select(norm_publisher("publisher_name").alias("publisher_name_norm"), base_domain("publisher_domain").alias("_domain"), (F.col(order) if order else F.lit(0)).alias("_at"))
+    own = own.where("publisher_name_norm <> '' AND _domain <> ''").groupBy("publisher_name_norm").agg(F.max(F.struct("_at", "_domain"))["_domain"].alias("override_domain"))
     return rows.join(own, "publisher_name_norm", "left_anti").unionByName(own)
 
 
+def load_overrides(spark: SparkSession, path: str | None) -> DataFrame:
+    """The overrides with those of a CSV file with a header; later lines win. Without a path, or where nothing is there, the built-in ones."""
+    if not path or not table_exists(spark, path):
+        return overrides_table(spark)
+    lines = spark.read.csv(path, header=True).withColumn("_line", F.monotonically_increasing_id())
+    return overrides_table(spark, lines, "_line")
+
+
 def publishers_upsert(news: DataFrame, existing: DataFrame, ranks: DataFrame, overrides: DataFrame, now: datetime, default_weight: float = DEFAULT_WEIGHT, refresh_days: int = 30) -> DataFrame:
     """Register new publishers with ids, domains and weights; refresh weights unset or older than 30 days.
 

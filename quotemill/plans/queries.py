@@ -550,7 +550,9 @@ def _gold(spark, d) -> DataFrame:
 
 
 def _slice(spark, d) -> DataFrame:
-    return P.latest_slice(_gold(spark, d))
+    """Factors of the newest day, which a scan of one column tells."""
+    newest = X.table(spark, d, "lineitem").agg(F.max("l_shipdate").cast("date")).first()[0]
+    return state.day_factors(X.daily(spark, d), newest)
 
 
 @query("market_breadth", "SELECT trade_date IS NULL AS x, round(avg(CASE WHEN returns_1d > 0 THEN 100.0 ELSE 0 END), 6) AS pct_up, round(avg(CASE WHEN close > sma_50 THEN 100.0 WHEN close <= sma_50 THEN 0 END), 6) AS pct_above_sma_50, round(avg(CASE WHEN close > sma_200 THEN 100.0 WHEN close <= sma_200 THEN 0 END), 6) AS pct_above_sma_200, count(*) AS universe FROM slice WHERE returns_1d IS NOT NULL GROUP BY 1", (X.FACTORS,))
@@ -679,6 +681,14 @@ def top_gainers_losers(spark, d):
     return K.top_gainers_losers(_slice(spark, d)).select("symbol", F.round("returns_1d", 6).alias("returns_1d"), "side")
 
 
+_RANKED = "SELECT trade_date, symbol, round(returns_1d, 6) AS returns_1d, '{side}' AS side FROM (SELECT *, row_number() OVER (PARTITION BY trade_date ORDER BY returns_1d {order} NULLS LAST, symbol) AS n FROM gold) WHERE n <= 5 AND returns_1d {sign} 0"
+
+
+@query("top_gainers_losers_by_date", _RANKED.format(side="gainer", order="DESC", sign=">") + " UNION ALL " + _RANKED.format(side="loser", order="ASC", sign="<"), (X.FACTORS,))
+def _(spark, d):
+    return K.top_gainers_losers_by_date(V.returns_1d_5d_21d(X.daily(spark, d))).select("trade_date", "symbol", F.round("returns_1d", 6).alias("returns_1d"), "side")
+
+
 @query("risky_bets", "(SELECT symbol, 'hot' AS bucket FROM slice WHERE realized_vol_21d IS NOT NULL AND returns_21d > 0 ORDER BY returns_21d DESC, symbol LIMIT 6) UNION ALL (SELECT symbol, 'crash' AS bucket FROM slice WHERE realized_vol_21d IS NOT NULL AND returns_21d < 0 ORDER BY returns_21d, symbol LIMIT 6) UNION ALL (SELECT symbol, 'sleepy' AS bucket FROM slice WHERE realized_vol_21d IS NOT NULL ORDER BY realized_vol_21d, symbol LIMIT 6)", (X.FACTORS,))
 def _(spark, d):
     return K.risky_bets(_slice(spark, d)).select("symbol", "bucket")
@@ -949,6 +959,19 @@ def _(spark, d):
     return news.silver_news(spark, paths, D15)
 
 
+@query("publisher_overrides", "SELECT publisher_name_norm, arg_max(override_domain, seq) AS override_domain FROM (SELECT lower(trim(n_name)) AS publisher_name_norm, lower(replace(n_name, ' ', '-')) || '.com' AS override_domain, 0 AS seq FROM nation UNION ALL SELECT lower(r_name), lower(replace(r_name, ' ', '-')) || '.co.uk', 1 FROM region UNION ALL SELECT lower(n_name), lower(replace(n_name, ' ', '')) || '.org', 2 AS seq FROM nation WHERE n_nationkey % 3 = 0) GROUP BY 1")
+def _(spark, d):
+    """Overrides as people write them: blanks around names, hosts with labels in front, names twice."""
+    nation, region = X.table(spark, d, "nation"), X.table(spark, d, "region")
+    dashed = lambda c: F.replace(c, F.lit(" "), F.lit("-"))
+    raw = nation.select(F.concat(F.lit("  "), "n_name", F.lit(" ")).alias("publisher_name"), F.concat(F.lit("WWW.News."), dashed("n_name"), F.lit(".com ")).alias("publisher_domain"), F.lit(0).alias("at"))
+    raw = raw.unionByName(region.select(F.col("r_name").alias("publisher_name"), F.concat(F.lit("a.b."), dashed("r_name"), F.lit(".co.uk")).alias("publisher_domain"), F.lit(1).alias("at")))
+    raw = raw.unionByName(nation.where("n_nationkey % 3 = 0").select(F.lower("n_name").alias("publisher_name"), F.concat(F.replace("n_name", F.lit(" ")), F.lit(".org")).alias("publisher_domain"), F.lit(2).alias("at")))
+    blank = raw.limit(1).withColumns({"publisher_domain": F.lit(" "), "at": F.lit(9)})
+    known = news.overrides_table(spark).select("publisher_name_norm")
+    return news.overrides_table(spark, raw.unionByName(blank), "at").join(known, "publisher_name_norm", "left_anti").select("publisher_name_norm", "override_domain")
+
+
 @query("publishers_upsert", "SELECT publisher_name_norm, publisher_id, publisher_domain, round(publisher_weight, 6) AS publisher_weight, weight_source FROM (SELECT publisher_name_norm, CASE WHEN publisher_id < 10 THEN publisher_id ELSE 9 + row_number() OVER (PARTITION BY publisher_id < 10 ORDER BY publisher_name_norm) END AS publisher_id, CASE WHEN publisher_id < 10 THEN publisher_domain ELSE '' END AS publisher_domain, CASE WHEN publisher_id < 10 THEN publisher_weight ELSE 0.05 END AS publisher_weight, CASE WHEN publisher_id < 10 THEN weight_source ELSE 'default' END AS weight_source FROM publishers)", (X.PUBLISHERS,))
 def _(spark, d):
     every = X.publishers(spark, d)

@@ -21,10 +21,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.columns import dollar_volume
-from ..operators.aggregations import daily_ohlc, weighted_sentiment_7d
+from ..operators.aggregations import daily_ohlc, market_breadth, weighted_sentiment_7d
 from ..operators.joins import join_sentiment, semi_target_assets
-from ..operators.windows import all_factors
-from ..sources.readers import scan_silver_day, table_exists
+from ..operators.windows import all_factors, tiled_sum
+from ..sources.readers import scan_silver_day, scan_snapshot_as_of, scan_snapshot_latest, table_exists
 from ..sources.versions import Snapshot, load, snapshot
 from .prices import GOLD_COLUMNS, Paths
 
@@ -63,8 +63,9 @@ def state_factors(today: DataFrame, state: DataFrame) -> DataFrame:
     tail = lambda n: F.slice("_all", F.greatest(F.col("_size") - n + 1, F.lit(1)), n)
 
     def mean(n):
-        zero = F.struct(F.lit(0.0).alias("sum"), F.lit(0).cast("long").alias("n"))
-        return F.aggregate(F.filter(tail(n), lambda x: x.isNotNull()), zero, lambda a, x: F.struct((a["sum"] + x).alias("sum"), (a["n"] + 1).alias("n")), lambda a: F.when(a["n"] > 0, a["sum"] / a["n"]))
+        # rows that aren't there stand as 0 in front, as they do in the windows' tiles
+        full = F.concat(F.array_repeat(F.lit(0.0), n - F.size(tail(n))), F.transform(tail(n), lambda x: F.coalesce(x, F.lit(0.0))))
+        return F.try_divide(tiled_sum(full, n), F.size(F.filter(tail(n), lambda x: x.isNotNull())))
 
     returns = lambda k: F.try_divide(F.col("close"), back(k)) - 1
     # the last 21 returns need 22 closes
@@ -79,6 +80,23 @@ def state_factors(today: DataFrame, state: DataFrame) -> DataFrame:
     return rows.withColumns({f"dist_sma_{n}": F.try_divide(close, F.col(f"sma_{n}")) - 1 for n in (50, 200)}).drop("_old", "_all", "_size")
 
 
+def day_factors(daily: DataFrame, as_of: date) -> DataFrame:
+    """The rows of one day of `daily` with every factor, without factors of other days.
+
+    The bound on the date and the day's assets reach the rows before they are grouped; of
+    the history only the last 252 closes of each of these assets are kept.
+    """
+    today = daily.where(F.col("trade_date") == F.lit(as_of))
+    before = semi_target_assets(daily.where(F.col("trade_date") < F.lit(as_of)), today)
+    return state_factors(today, build_state(before, as_of))
+
+
+def stored_breadth(spark: SparkSession, paths: Paths, as_of: date | None = None) -> DataFrame:
+    """Market breadth of the newest stored day (not after `as_of`); one partition of `gold/prices_by_state` is read."""
+    root = paths.table("gold", "prices_by_state")
+    return market_breadth(scan_snapshot_latest(spark, root, "trade_date") if as_of is None else scan_snapshot_as_of(spark, root, as_of, "trade_date"))
+
+
 def next_state(state: DataFrame, today: DataFrame, as_of: date) -> DataFrame:
     """The state with the day's closes pushed into the rings; other assets' rings stay."""
     none = F.expr("CAST(array() AS array<struct<trade_date: date, close: double>>)")

@@ -95,6 +95,26 @@ def snapshot_latest(df: DataFrame, day: str = "date") -> DataFrame:
     return df.join(F.broadcast(newest), F.col(day) == F.col("_newest")).drop("_newest")
 
 
+def newest_day(values: list[str], as_of: date | None = None) -> str | None:
+    """The newest of sorted days that is not after `as_of`, else the newest of all."""
+    before = [v for v in values if as_of is None or v <= as_of.isoformat()]
+    return (before or values or [None])[-1]
+
+
+def scan_snapshot_as_of(spark: SparkSession, root: str, as_of: date, day: str = "date") -> DataFrame:
+    """`snapshot_as_of` of a stored table. The day comes from the names of its partitions, so one partition is read; a table that isn't parted by day is read twice, as there."""
+    table = snapshot(spark, root)
+    found = newest_day(table.days(day), as_of)
+    return snapshot_as_of(table.read(), as_of, day) if found is None else table.day(day, found)
+
+
+def scan_snapshot_latest(spark: SparkSession, root: str, day: str = "date") -> DataFrame:
+    """`snapshot_latest` (or `latest_slice`) of a stored table, by the names of its partitions."""
+    table = snapshot(spark, root)
+    found = newest_day(table.days(day))
+    return snapshot_latest(table.read(), day) if found is None else table.day(day, found)
+
+
 def ingest_bars(raw: DataFrame) -> DataFrame:
     """Upper-case the symbol and stamp the rows; without a symbol column the result is empty."""
     if "symbol" not in raw.columns:

@@ -300,3 +300,64 @@ def test_sinks(spark, tmp_path):
     odd = bars(spark, ["TRUE", "1E5"])
     S.sink_compact_month(odd, str(tmp_path / "compact"))
     assert {r.symbol for r in R.view_prices_compact(spark, str(tmp_path / "compact")).collect()} == {"TRUE", "1E5"}
+
+
+def test_tiled_frames_equal_sliding_ones(spark):
+    """Widths below, at and across the tiles' borders, with nulls, repeated values and series shorter than the frame."""
+    import random
+
+    from pyspark.sql import Window as W
+
+    rng = random.Random(4)
+    start = date(2020, 1, 1).toordinal()
+    rows = [(a, date.fromordinal(start + k), None if rng.random() < 0.1 else rng.choice([-2.5, 0.1, 7.25, rng.uniform(-9, 9)])) for a, n in ((1, 330), (2, 40), (3, 1)) for k in range(n)]
+    df = spark.createDataFrame([*rows, (4, date(2020, 1, 1), None)], "asset_id long, trade_date date, close double")
+    widths = [1, 2, 8, 9, 12, 48, 50, 53, 200, 252]
+    out = V.sliding_max(df, "close", {f"high_{n}": n for n in widths})
+    out = V.sliding_mean(out, "close", {f"mean_{n}": n for n in widths})
+    frame = lambda n: W.partitionBy("asset_id").orderBy("trade_date").rowsBetween(1 - n, 0)
+    out = out.withColumns({f"max_{n}": F.max("close").over(frame(n)) for n in widths} | {f"avg_{n}": F.avg("close").over(frame(n)) for n in widths})
+    for r in out.collect():
+        for n in widths:
+            assert r[f"high_{n}"] == r[f"max_{n}"]
+            assert (r[f"mean_{n}"] is None) == (r[f"avg_{n}"] is None) and (r[f"avg_{n}"] is None or r[f"mean_{n}"] == pytest.approx(r[f"avg_{n}"], abs=1e-12))
+    plan = V.high_52w(df)._jdf.queryExecution().executedPlan().toString()
+    assert "-251" not in plan and plan.count("Sort [") == 1
+
+
+def test_tiled_mean_depends_on_its_rows_alone(spark):
+    """The last bit of a mean doesn't change with the rows before its frame, and an array gives the same."""
+    closes = [0.1 * k * (-1) ** k + 1e9 * (k < 40) for k in range(300)]
+    long = V.sma(series(spark, closes), 200).orderBy(F.desc("trade_date")).first().sma_200
+    short = V.sma(series(spark, closes[100:]), 200).orderBy(F.desc("trade_date")).first().sma_200
+    held = spark.range(1).select((V.tiled_sum(F.lit(closes[100:]), 200) / 200).alias("x")).first().x
+    assert long == short == held
+
+
+def test_raw_overrides(spark, tmp_path):
+    raw = [("Reuters ", "https.www.reuters.com", 1), (" REUTERS", "news.Reuters.co.uk", 2), ("reuters", " ", 3), ("", "x.com", 4), (None, "y.com", 5), ("Quartz", None, 6), ("Paper", "www.paper.org", 7)]
+    df = spark.createDataFrame(raw, "publisher_name string, publisher_domain string, seq long")
+    known = {r.publisher_name_norm: r.override_domain for r in news.overrides_table(spark).collect()}
+    want = known | {"reuters": "reuters.co.uk", "paper": "paper.org"}
+    assert {r.publisher_name_norm: r.override_domain for r in news.overrides_table(spark, df, "seq").collect()} == want
+    assert {r.publisher_name_norm: r.override_domain for r in news.overrides_table(spark, df.drop("publisher_domain")).collect()} == known
+    path = tmp_path / "names.csv"
+    path.write_text('publisher_name,publisher_domain\n' + "".join(f'"{a or ""}","{b or ""}"\n' for a, b, _ in raw))
+    assert {r.publisher_name_norm: r.override_domain for r in news.load_overrides(spark, str(path)).collect()} == want
+    for absent in (None, str(tmp_path / "none.csv")):
+        assert {r.publisher_name_norm: r.override_domain for r in news.load_overrides(spark, absent).collect()} == known
+    existing = spark.createDataFrame([], schemas.PUBLISHERS)
+    fresh = spark.createDataFrame([("REUTERS",)], "publisher string")
+    ranks = spark.createDataFrame([(100, "reuters.co.uk")], schemas.RANKS)
+    row = news.publishers_upsert(fresh, existing, ranks, news.load_overrides(spark, str(path)), NOW).first()
+    assert row.publisher_domain == "reuters.co.uk" and row.publisher_weight == pytest.approx(1 - 2 / 6)
+
+
+def test_day_factors_equal_those_of_all_days(spark):
+    from quotemill.plans import state
+
+    rows = series(spark, [100 + (k * 7) % 13 for k in range(300)]).unionByName(series(spark, [5, 6, 7], 2)).withColumns({c: F.col("close") for c in ("high", "low")})
+    for as_of in (date.fromordinal(date(2024, 1, 1).toordinal() + k) for k in (299, 2, 0, 400)):
+        every = prices.price_factors(rows).where(F.col("trade_date") == F.lit(as_of))
+        one = state.day_factors(rows, as_of).select(*every.columns)
+        assert sorted(map(tuple, one.collect())) == sorted(map(tuple, every.collect()))
