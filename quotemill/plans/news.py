@@ -20,6 +20,7 @@ from ..sources.readers import scan_trailing_30d, table_exists
 from ..sources.sinks import sink_news_day
 from ..sources.versions import load, snapshot
 from .prices import Paths
+from .sentiment import SentimentModel
 
 #: Words of the default scorer.
 POSITIVE = ["beat", "beats", "gain", "gains", "growth", "profit", "record", "rise", "rises", "strong", "surge", "upgrade", "win", "wins"]
@@ -36,11 +37,13 @@ def word_list_label(text: Column, positive: list[str] = POSITIVE, negative: list
 def score_sentiment(headlines: DataFrame, scorer_factory=None, batch_size: int = 32) -> DataFrame:
     """Add `sentiment` from title or summary.
 
-    Without a factory the word lists decide, in column expressions. A factory is called
-    once per worker and gives a function from a list of texts to labels; texts go to it
-    in batches.
+    Without a factory the word lists decide, in column expressions. A `SentimentModel`
+    (`fit_sentiment`) labels them in the JVM. Any other factory is called once per worker and
+    gives a function from a list of texts to labels; texts go to it in batches.
     """
     text = headline_text("title", "summary")
+    if isinstance(scorer_factory, SentimentModel):
+        return scorer_factory.score(headlines, text)
     if scorer_factory is None:
         return headlines.withColumn("sentiment", word_list_label(text))
 

@@ -23,6 +23,7 @@ from ..sources.versions import load
 from . import activity, news, prices, quality, runlog, state
 from . import adapters as X
 from . import assets as AS
+from .sentiment import fit_sentiment
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -1010,6 +1011,22 @@ def _(spark, d):
     return news.score_sentiment(X.news(spark, d), factory).select("doc_id", "sentiment")
 
 
+def rated(spark, d) -> DataFrame:
+    """Documents with labels as texts of a mood: toxic ones negative, else those of quality positive, else neutral."""
+    mood = F.when(F.col("toxic") == 1, "negative").when(F.col("quality") == 1, "positive").otherwise("neutral")
+    labels = X.table(spark, d, "labels").where("toxic IS NOT NULL OR quality IS NOT NULL").select("doc_id", mood.alias("sentiment"))
+    return X.table(spark, d, "documents").select("doc_id", "text").join(labels, "doc_id")
+
+
+@query("score_sentiment_fitted")
+def _(spark, d):
+    """A classifier of the labelled documents scores all; those whose id's checksum leaves 2 of 4 are held out of the fit."""
+    held = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 4 == 2
+    model = fit_sentiment(rated(spark, d).where(~held))
+    rows = X.table(spark, d, "documents").select("doc_id", held.alias("held_out"), "text")
+    return model.score(rows, F.col("text"), confidence="confidence").select("doc_id", "held_out", "sentiment", F.round("confidence", 4).alias("confidence"))
+
+
 @query("silver_pageviews", "SELECT asset_id, view_date, CAST(sum(views) AS BIGINT) AS views FROM views JOIN customer ON asset_id = c_custkey WHERE view_date = DATE '2024-01-15' GROUP BY 1, 2", (X.VIEWS,))
 def _(spark, d):
     paths = _paths(spark)
