@@ -9,7 +9,7 @@ for the most part in its headers or in one such paragraph or window. Paragraphs
 are units only where their terms in common with a template could reach the threshold. Equal
 units are compared once. idf covers headers and whole texts; a term outside the templates counts in a unit's norm.
 
-A file has the licence of its best unit at `threshold` or above (ties: by name); else it
+A file has the licence of its best unit at `threshold` or above (ties, to 12 digits: by name); else it
 inherits that of the nearest ancestor directory with a licence file (within one
 directory: the best cosine, then the name). A null or empty text has no unit; a null path
 inherits nothing; repeated rows are each scanned; texts are read whole, however long;
@@ -133,7 +133,7 @@ def units(files: DataFrame, path: str, text: str) -> DataFrame:
     within = F.size(split_words(F.array_join("_runs", " ")))
     rows = rows.withColumn("is_file", F.col("named") | (2 * within > F.size(split_words(F.col("_text")))))
     all_units = F.when(F.col("named"), F.array_union("_runs", F.array("_text"))).otherwise(F.array_distinct("_runs"))
-    return rows.select("_row", "is_file", F.explode(F.transform(all_units, _plain)).alias("unit"), F.lit(True).alias("counts"))
+    return rows.select("_row", "is_file", F.explode(F.transform(all_units, _plain)).alias("unit"), F.lit(True).alias("counts")).where("unit != ''")
 
 
 def more_units(files: DataFrame, path: str, text: str, energies: list, threshold: float) -> DataFrame:
@@ -161,7 +161,9 @@ def best_licences(found: DataFrame, templates: dict[str, list[str]], threshold:
     model = model.join(frequencies, "term", "left").withColumn("y", F.col("tf_t") * weight("df"))
     norms_t = model.groupBy("template").agg(F.sqrt(F.sum(F.col("y") * F.col("y"))).alias("norm_t"))
     dots = vectors.join(model.select("term", "template", "licence", "y"), "term").groupBy("key", "template", "licence").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
-    cosines = dots.join(norms, "key").join(norms_t, "template").withColumn("cosine", F.col("dot") / (F.col("norm") * F.col("norm_t")))
+    cosines = dots.join(norms, "key").join(norms_t, "template")
+    # the last digits depend on the order of the sums, and equal cosines must be ties
+    cosines = cosines.withColumn("cosine", F.round(F.col("dot") / (F.col("norm") * F.col("norm_t")), 12))
     best = cosines.where(F.col("cosine") >= threshold).groupBy("key").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "licence")).alias("b"))
     return best.select("key", F.col("b.licence").alias("licence"), (-F.col("b.c")).alias("cosine"))
 
