@@ -20,7 +20,7 @@ from ..functions.columns import check_id, col, details_json, norm_symbol
 from ..operators.joins import anti_missing_symbols
 from ..operators.topk import missing_symbol_sample
 from ..sources.readers import schema_probe
-from ..sources.sinks import append_log
+from ..sources.sinks import append_log, append_once
 
 #: Names and prefixes whose severity is YELLOW (fixed values).
 YELLOW_PREFIXES = ["dq_silver_ref_sp500_", "dq_bronze_tranco_"]
@@ -399,8 +399,12 @@ def check_isolation(checks: list[str], tables: dict, run: RunInfo, thresholds: d
     return spark.createDataFrame([tuple(r) for r in rows], schemas.CHECK_ROW)
 
 
-def write_dq_log(spark: SparkSession, path: str, check_name: str, severity: str, status: str, run: RunInfo, measured: float | None = None, threshold: float | None = None, details: dict[str, str] | None = None, error: Exception | None = None) -> None:
-    """Append one row; an error's name and message join the details."""
+def write_dq_log(spark: SparkSession, path: str, check_name: str, severity: str, status: str, run: RunInfo, measured: float | None = None, threshold: float | None = None, details: dict[str, str] | None = None, error: Exception | None = None, batch: str | None = None) -> None:
+    """Append one row; an error's name and message join the details. With `batch` it is written once whatever the retries (`append_once`)."""
     said = dict(details or {}) | ({"error_name": type(error).__name__, "error_message": str(error)} if error else {})
     row = fixed_row(spark, run, check_name, status, measured, threshold).withColumn("severity", F.lit(severity))
-    append_log(row.withColumn("details_json", details_json(**{k: F.lit(v) for k, v in said.items()}) if said else F.lit("{}")), path)
+    row = row.withColumn("details_json", details_json(**{k: F.lit(v) for k, v in said.items()}) if said else F.lit("{}"))
+    if batch is None:
+        append_log(row, path)
+    else:
+        append_once(row, path, batch)

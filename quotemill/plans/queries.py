@@ -304,6 +304,17 @@ def _(spark, d):
     return spark.read.parquet(path).groupBy("job_name").agg(F.count("*").alias("n"))
 
 
+@query("append_once", "SELECT job_name, count(*) AS n FROM runs GROUP BY job_name", (X.RUNS,))
+def _(spark, d):
+    """Two batches, each appended again by a repeated run."""
+    path, rows = scratch_path(spark, "log"), X.runs(spark, d)
+    failed = F.col("status") == "FAILURE"
+    for batch, part in (("failed", rows.where(failed)), ("others", rows.where(~failed))):
+        for _attempt in range(2):
+            S.append_once(part, path, batch)
+    return S.read_log(spark, path, rows.schema).groupBy("job_name").agg(F.count("*").alias("n"))
+
+
 @query("replace_run_rows", "SELECT run_id, CASE WHEN status = 'FAILURE' THEN 'AGAIN' ELSE status END AS status FROM runs", (X.RUNS,))
 def _(spark, d):
     rows = X.runs(spark, d).select("run_id", "status")

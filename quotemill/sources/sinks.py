@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.merges import merge_keep_last
 from .readers import table_exists
-from .versions import snapshot
+from .versions import _fs, snapshot
 
 
 def _dynamic(df: DataFrame, root: str, by: list[str]) -> None:
@@ -77,3 +78,43 @@ def replace_table(df: DataFrame, path: str) -> DataFrame:
 
 def append_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
+
+
+#: Folder of one batch of a log; readers of the folder see it as a column.
+BATCH = "_batch"
+
+
+def append_once(df: DataFrame, path: str, batch: str) -> bool:
+    """Append `df` as the batch of that name, once: a repeated run, or a retry after a crash, adds no row. Gives whether it wrote.
+
+    A batch is one folder that a single rename brings in, so readers see all of it or nothing; of two
+    writers of one batch at the same time the rows of one stay. A log with rows of `append_log`
+    is refused, as its files would be hidden by the folders.
+    """
+    folder = f"{BATCH}={_checked(batch)}"
+    fs, of = _fs(df.sparkSession, path)
+    root = of(path)
+    if fs.exists(root):
+        if any(s.isFile() and not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(root)):
+            raise ValueError(f"{path} has rows without a batch: append them once to a new log")
+        if fs.exists(of(root, folder)):
+            return False
+    _dynamic(df.withColumn(BATCH, F.lit(batch)), path, [BATCH])
+    return True
+
+
+def _checked(batch: str) -> str:
+    """The batch's name, if it stands in a folder's name as it is."""
+    if not batch or not all(c.isascii() and (c.isalnum() or c in "-._") for c in batch):
+        raise ValueError(f"a batch has a name of ASCII letters, digits, '-', '.' and '_', not {batch!r}")
+    return batch
+
+
+def read_log(spark: SparkSession, path: str, schema: StructType, batches: list[str] | None = None) -> DataFrame:
+    """Rows of a log written by `append_once`, of some batches if named; a log that isn't there is empty."""
+    if not table_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(StructType([*schema.fields, StructField(BATCH, StringType())])).parquet(path)
+    if batches is not None:
+        rows = rows.where(F.col(BATCH).isin(batches))
+    return rows.drop(BATCH)
