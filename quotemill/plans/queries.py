@@ -161,7 +161,7 @@ def _(spark, d):
 
 @query("ingest_news_json", "SELECT 'U' || user_id AS symbol, CAST(event_id AS VARCHAR) AS uuid, event_type AS title, CAST(to_timestamp(epoch(ts)::BIGINT) AT TIME ZONE 'UTC' AS DATE) AS published FROM events")
 def _(spark, d):
-    story = F.struct(F.col("event_id").cast("string").alias("uuid"), F.col("event_type").alias("title"), F.unix_seconds(F.col("ts").cast("timestamp")).cast("double").alias("providerPublishTime"))
+    story = F.struct(F.col("event_id").cast("string").alias("uuid"), F.col("event_type").alias("title"), F.rint(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000).alias("providerPublishTime"))  # feeds give whole seconds, the nearest
     raw = X.table(spark, d, "events").groupBy(F.concat(F.lit("u"), "user_id").alias("symbol"), F.col("ts").cast("date")).agg(F.to_json(F.collect_list(story)).alias("payload"))
     return R.ingest_news_json(raw, query_date=D15).select("symbol", "uuid", "title", F.col("provider_publish_time").cast("date").alias("published"))
 

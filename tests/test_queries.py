@@ -44,3 +44,12 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_news_seconds_round_as_in_sql(spark, con, tmp_path):
+    """Story times with parts of a second, also just before midnight, halves and times before 1970."""
+    odd = ["2024-01-15 23:59:59.700001", "2024-01-15 23:59:59.5", "2024-01-15 23:59:58.5", "2024-01-15 23:59:59.499999", "1969-12-31 23:59:59.6", "1969-12-31 23:59:59.5", "1969-12-31 23:59:59.4"]
+    con.execute(f"COPY (SELECT i AS event_id, CAST(t AS TIMESTAMP) AS ts, CASE WHEN i <> 3 THEN i % 2 END AS user_id, 'a\"é\\' AS event_type FROM (VALUES {', '.join(f'({k}, {chr(39)}{t}{chr(39)})' for k, t in enumerate(odd))}, (7, NULL)) v(i, t)) TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    want = con.execute(queries.SQL["ingest_news_json"].replace("FROM events", f"FROM '{tmp_path}/events.parquet'")).fetchall()
+    got = queries.QUERIES["ingest_news_json"](spark, str(tmp_path)).select("symbol", "uuid", "title", "published").collect()
+    assert sorted(str(tuple(r)) for r in got) == sorted(map(str, want))
