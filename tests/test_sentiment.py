@@ -56,3 +56,17 @@ def test_one_label_is_refused(spark):
 def test_grams(spark):
     held = spark.createDataFrame([("Ätna's peak",), ("one",), ("",), (None,)], "t string").select(grams(F.col("t")).alias("g")).collect()
     assert [r.g for r in held] == [["ätna", "s", "peak", "ätna s", "s peak"], ["one"], [], []]
+
+
+def test_fit_reads_each_text_once(spark):
+    """The words of a labelled text are made once, for the labels, the steps and the temperature together."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def told(text):
+        seen.add(1)
+        return text
+
+    rows = spark.createDataFrame([(f"{'good fine' if k % 2 else 'bad poor'} thing {k}", "positive" if k % 2 else "negative") for k in range(60)], "text string, sentiment string")
+    fit_sentiment(rows.withColumn("text", told.asNondeterministic()("text")), width=1 << 8, steps=5)
+    assert seen.value == 60
