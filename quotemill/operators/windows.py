@@ -29,6 +29,20 @@ def _last(n: int, by: str = BY, order: str = ORDER):
     return _w(by, order).rowsBetween(1 - n, 0)
 
 
+#: Rows of a table that one task gets in `deal_series`.
+TASK_ROWS = 250_000
+
+
+def deal_series(df: DataFrame, by: str = BY) -> DataFrame:
+    """The rows of each series together, over more partitions the more rows there are, so that a task's memory doesn't grow with the table.
+
+    Aggregates by more keys and windows over `by` that follow need no other exchange. The
+    rows are counted first, which of a Parquet table reads its footers alone.
+    """
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(usual, -(-df.count() // TASK_ROWS)), by)
+
+
 #: Tiles a level, and the widest frame that is read whole.
 TILES, NARROW = 6, 8
 

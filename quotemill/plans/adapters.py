@@ -7,6 +7,8 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.windows import deal_series
+
 AS_OF = date(2024, 1, 30)
 NOW = datetime(2024, 2, 1)
 
@@ -17,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def daily(spark: SparkSession, d: str) -> DataFrame:
     """Daily prices of suppliers from lineitem; unique per asset and date."""
-    rows = table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("asset_id"), F.col("l_shipdate").cast("date").alias("trade_date"))
+    rows = deal_series(table(spark, d, "lineitem"), "l_suppkey").groupBy(F.col("l_suppkey").alias("asset_id"), F.col("l_shipdate").cast("date").alias("trade_date"))
     out = rows.agg(F.min("l_extendedprice").alias("low"), F.max("l_extendedprice").alias("high"), F.sum("l_quantity").cast("long").alias("volume"))
     return out.select("asset_id", F.concat(F.lit("S"), "asset_id").alias("symbol"), "trade_date", F.col("low").alias("open"), "high", "low", F.col("high").alias("close"), "volume")
 

@@ -53,3 +53,17 @@ def test_news_seconds_round_as_in_sql(spark, con, tmp_path):
     want = con.execute(queries.SQL["ingest_news_json"].replace("FROM events", f"FROM '{tmp_path}/events.parquet'")).fetchall()
     got = queries.QUERIES["ingest_news_json"](spark, str(tmp_path)).select("symbol", "uuid", "title", "published").collect()
     assert sorted(str(tuple(r)) for r in got) == sorted(map(str, want))
+
+
+def test_daily_series_are_dealt_once_by_their_rows(spark, monkeypatch):
+    """From the table to the factors one exchange, over as many partitions as the number of rows asks."""
+    from quotemill.operators import windows
+    from quotemill.plans import adapters, prices
+
+    monkeypatch.setattr(windows, "TASK_ROWS", 500, raising=False)
+    daily = adapters.daily(spark, SF)
+    bars = daily.withColumns({"timestamp": daily["trade_date"].cast("timestamp"), "trade_count": daily["volume"], "vwap": daily["close"]}).drop("trade_date")
+    plan = prices.gold_prices_backfill(bars)._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    parts = -(-spark.read.parquet(f"{SF}/lineitem.parquet").count() // 500)
+    assert len(dealt) == 1 and f", {parts})" in dealt[0]
