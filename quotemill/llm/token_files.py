@@ -31,7 +31,8 @@ from . import arrays, shared
 SEQUENCE = 2048
 BATCH = 64
 _CACHE_WORDS = 600_000
-_STOP = re.compile(rb"(?<=[a-z])([.,])(?=[\x20\x09-\x0D]|$)")
+#: Begins with the mark, so that a search skips from mark to mark.
+_STOP = re.compile(rb"[.,](?<=[a-z][.,])(?=[\x20\x09-\x0D]|$)")
 _encoders: dict[str, "WordEncoder"] = {}
 
 
@@ -57,17 +58,25 @@ class WordEncoder:
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         # special tokens keep their case
-        split = [_STOP.sub(rb" \1", t if b"<|" in t else t.lower()).split() for t in texts]
-        new = set().union(*split).difference(self.known)
-        if new:
+        split = [_STOP.sub(rb" \g<0>", t if b"<|" in t else t.lower()).split() for t in texts]
+        out = list(map(self._joined, split))
+        late = [k for k, ids in enumerate(out) if ids is None]
+        if late:
             if len(self.known) > _CACHE_WORDS:
                 self.known.clear()
-                new = set().union(*split)
-            new = sorted(new)
+            new = sorted(set().union(*(split[k] for k in late)).difference(self.known))
             for k in range(0, len(new), 4096):
                 self._learn(new[k : k + 4096])
-        known = self.known
-        return [b"".join([known[w] for w in words]) for words in split]
+            for k in late:
+                out[k] = self._joined(split[k])
+        return out
+
+    def _joined(self, words: list[bytes]) -> bytes | None:
+        """Ids of the words; None where one isn't known yet."""
+        try:
+            return b"".join(list(map(self.known.__getitem__, words)))
+        except KeyError:
+            return None
 
     def _learn(self, words: list[bytes]) -> None:
         texts = {w: w.decode() for w in words}

@@ -107,3 +107,19 @@ def test_mixed_rows_have_the_words_of_the_digest_source_by_source(spark):
     assert got == want and len(want) == 3
     targets = {r.source: r.target for r in source_mix.source_targets(docs.select("source", source_mix.word_count(F.col("text")).alias("size"))).collect()}
     assert all(abs(got[s] - targets[s]) < 1200 for s in targets)
+
+
+def test_word_encoder_equals_the_tokenizer_with_a_small_memory(monkeypatch):
+    """Marks at odd places, new words in any batch, and a memory that is emptied again and again."""
+    from tokenizers import Tokenizer
+
+    from quotemill.llm import token_files as T
+
+    monkeypatch.setattr(T, "_CACHE_WORDS", 3)
+    texts = ["", " ", "a.\n", "a.b. c,", "A. B, é. x,\ty q. ", ".", "a..", "a.,", "one two, three.", "one two four", "one"]
+    whole = Tokenizer.from_file(T.default_tokenizer())
+    encode = T.WordEncoder(T.default_tokenizer(), 2)
+    for k in range(0, len(texts), 2):
+        got = encode([t.encode() for t in texts[k : k + 2]])
+        want = [whole.encode(t, add_special_tokens=False).ids for t in texts[k : k + 2]]
+        assert [[int.from_bytes(g[i : i + 2], "little") for i in range(0, len(g), 2)] for g in got] == want
