@@ -40,10 +40,12 @@ from pyspark.sql import functions as F
 
 from . import arrays, shared
 from .suffix_groups import suffix_array
-from .textcore import map_texts, mix, word_hashes
+from .textcore import map_texts, mix, powers, text_bytes, word_hashes
 
 #: Bytes of contexts that are sorted together, and contexts of a key before it is split.
 BIN_BYTES, HEAVY = 3 << 20, 4000
+#: Units of a text whose windows are hashed together.
+CHUNK = 1 << 18
 #: Words of a passage that the query tells the repeats of.
 PASSAGE = 51
 
@@ -75,33 +77,72 @@ def words_of(n: int) -> Windows:
     return Windows(n, n * 2 // 3, n // 8, 4, True)
 
 
+def _flat(part: pa.RecordBatch, w: Windows) -> tuple[np.ndarray, np.ndarray]:
+    """Units of all texts of a slice, one after another, and where each text starts and ends."""
+    if w.unit == 1:
+        return text_bytes(part.column(part.schema.get_field_index("text")))
+    words, counts = word_hashes(*map_texts(part))
+    return (words >> np.uint64(32)).astype(np.uint32), np.concatenate(([0], np.cumsum(counts)))
+
+
 def _units(batch: pa.RecordBatch, w: Windows):
     """Slices of a batch, each with its texts as bytes of units."""
     for part in arrays.slices(batch):
-        if w.unit == 1:
-            yield part, [memoryview(x.as_buffer()) for x in part.column(part.schema.get_field_index("text"))]
-        else:
-            words, counts = word_hashes(*map_texts(part))
-            raw, ends = memoryview((words >> np.uint64(32)).astype(np.uint32).tobytes()), np.cumsum(counts) * w.unit
-            yield part, [raw[b - n * w.unit : b] for b, n in zip(ends.tolist(), counts.tolist())]
-
-
-def anchors(data: np.ndarray, w: Windows = BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchors of a text's windows, and the first and last window of each."""
-    windows = len(data) // w.unit - w.length + 1
-    if windows <= 0:
-        return (np.zeros(0, np.int64),) * 3
-    n = windows + w.span - 1
-    grams = np.lib.stride_tricks.as_strided(data, (n, 8), (w.unit, 1)).copy().view(np.uint64).ravel()
-    value = (mix(grams) & np.uint64(0xFFFFFFFF00000000)) | np.arange(n, dtype=np.uint64)
-    padded = np.full(-(-n // w.span) * w.span, np.uint64(0xFFFFFFFFFFFFFFFF))
-    padded[:n] = value
-    rows = padded.reshape(-1, w.span)
-    ahead = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()[:windows]
-    behind = np.minimum.accumulate(rows, axis=1).ravel()[w.span - 1 : w.span - 1 + windows]
-    of = (np.minimum(ahead, behind) & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
-    return of[first], first, np.append(first[1:], windows) - 1
+        units, offsets = _flat(part, w)
+        raw, ends = memoryview(units.tobytes()), (offsets * w.unit).tolist()
+        yield part, [raw[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+
+def _chunks(offsets: np.ndarray, limit: int):
+    """Ranges of at most `limit` units that hold whole texts, or parts of longer ones, which start anew in a range."""
+    a = 0
+    for start, end in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+        if end - a > limit and start > a:
+            yield a, start
+            a = start
+        while end - a > limit:
+            yield a, a + limit
+            a += limit
+    if offsets[-1] > a:
+        yield a, int(offsets[-1])
+
+
+def anchors(units: np.ndarray, offsets: np.ndarray, w: Windows = BYTES, limit: int = CHUNK):
+    """Anchors of the windows of all texts, a chunk at a time: where they are, their first and last windows, and the hashes of their keys and contexts."""
+    gram = 8 // w.unit  # units whose bytes are hashed together
+    for start, end in _chunks(offsets, limit):
+        data = units[start : end + w.length]
+        low, high = np.clip(offsets[:-1], start, end) - start, np.clip(offsets[1:] - w.length + 1, start, end) - start
+        windows = np.maximum(high - low, 0)
+        valid = np.repeat(low - (np.cumsum(windows) - windows), windows) + np.arange(windows.sum())
+        if not len(valid):
+            continue
+        n = len(data) - gram + 1
+        grams = np.empty(n, np.uint64)
+        for k in range(gram):  # from each k-th unit on they lie side by side
+            at = data[k : k + (len(data) - k) // gram * gram]
+            grams[k::gram] = at.view(np.uint64)
+        grams = mix(grams)
+        value = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(n, dtype=np.uint64)
+        windows = int(valid[-1]) + 1
+        padded = np.full(-(-(windows + w.span - 1) // w.span) * w.span, np.uint64(0xFFFFFFFFFFFFFFFF))
+        padded[:n] = value[: len(padded)]
+        rows = padded.reshape(-1, w.span)
+        ahead = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()[:windows]
+        behind = np.minimum.accumulate(rows, axis=1).ravel()[w.span - 1 : w.span - 1 + windows]
+        of = (np.minimum(ahead, behind)[valid] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+        at, low, high = of[first], valid[first], valid[np.append(first[1:], len(of)) - 1]
+        # sums of hashes times powers; a difference of two over the power at its start is a hash of what is between
+        power, inverse = powers(n)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(grams * power[:n], out=sums[1:])
+
+        def hashes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            return mix((sums[b - gram + 1] - sums[a]) * inverse[a])
+
+        where = ((at - low + 1) * w.length + at - high).astype(np.uint64)  # tells contexts of the same bytes apart
+        yield at + start, low + start, high + start, hashes(at, at + w.length - w.span).view(np.int64), mix(hashes(low, high + w.length) + where).view(np.int64)
 
 
 ANCHORS = "id long, row long, key long, context long, pos int, back int, near int"
@@ -127,21 +168,12 @@ def _anchors_of(docs: DataFrame, w: Windows) -> DataFrame:
 
     def find(batches):
         for batch in batches:
-            for part, texts in _units(batch, w):
-                out: list[list] = [[] for _ in range(7)]
-                for i, row, data in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), texts):
-                    if len(data) < w.length * w.unit:
-                        continue
-                    at, first, last = anchors(np.frombuffer(data, np.uint8), w)
-                    for a, b, c in zip(at.tolist(), first.tolist(), last.tolist()):
-                        out[2].append(_digest(w.cut(data, a, a + w.length - w.span), 0))
-                        out[3].append(_digest(w.cut(data, b, c + w.length), a - b))
-                    out[0] += [i] * len(at)
-                    out[1] += [row] * len(at)
-                    out[4] += at.tolist()
-                    out[5] += (at - first).tolist()
-                    out[6] += (at - last).tolist()
-                yield _batch(out, ANCHORS)
+            for part in arrays.slices(batch):
+                ids, rows = (part.column(k).to_numpy() for k in (0, 1))
+                units, offsets = _flat(part, w)
+                for at, first, last, key, context in anchors(units, offsets, w):
+                    text = np.searchsorted(offsets, at, "right") - 1
+                    yield _batch([ids[text], rows[text], key, context, (at - offsets[text]).astype(np.int32), (at - first).astype(np.int32), (at - last).astype(np.int32)], ANCHORS)
 
     return docs.select("id", "row", "text").mapInArrow(find, ANCHORS)
 
@@ -167,24 +199,36 @@ def _classes(order: np.ndarray, common: np.ndarray, depth: int) -> np.ndarray:
 def _repeated(n: list[int], owners: list[int], back: np.ndarray, near: np.ndarray, data: list[bytes], w: Windows = BYTES) -> tuple[np.ndarray, np.ndarray]:
     """(member, offset before the anchor) of the windows that occur twice, ascending."""
     codes: dict[bytes, int] = {}
-    text: list[int] = []
-    owner: list[int] = []
-    place: list[int] = []
-    by: list[int] = []
+    flat: list[int] = []
     block = w.block * w.unit
-    for m, (piece, b) in enumerate(zip(data, back.tolist())):
-        lo, hi = -(b // w.block), (len(piece) // w.unit - b) // w.block
-        own = [codes.setdefault(piece[k : k + block], len(codes)) for k in range(b * w.unit + lo * block, b * w.unit + hi * block, block)]
-        for copy in range(min(n[m], 2)):
-            by.append(owners[m] ^ copy if w.across else len(by))  # a second copy stands for another row
-            text += own
-            text.append(-len(by))
-            owner += [len(by) - 1] * (len(own) + 1)
-            place += [*range(lo, hi), hi]
-    copies = np.repeat(np.arange(len(data)), np.minimum(n, 2))
+    for piece, b in zip(data, back.tolist()):
+        phase = b % w.block * w.unit
+        flat += [codes.setdefault(piece[k : k + block], len(codes)) for k in range(phase, len(piece) - block + 1, block)]
+    sizes = np.array([len(piece) // w.unit for piece in data])
+    lo, blocks = -(back // w.block), (sizes - back) // w.block + back // w.block
+    # a context that occurs twice or more stands there twice
+    times = np.minimum(n, 2)
+    copies = np.repeat(np.arange(len(data)), times)
+    by = np.arange(len(copies))
+    if w.across:  # the second copy stands for another row
+        by = np.array(owners, np.int64)[copies] ^ (by - np.repeat(np.cumsum(times) - times, times))
+    many = blocks[copies]
+    copy = np.repeat(np.arange(len(copies)), many)
+    inside = np.arange(len(copy)) - np.repeat(np.cumsum(many) - many, many)
+    symbols = np.array(flat, np.int64)[(np.cumsum(blocks) - blocks)[copies][copy] + inside]
+    # no window that occurs twice holds a block that occurs once: strings end there, and need enough blocks
+    often = np.bincount(symbols, minlength=1)[symbols] > 1
+    string = np.cumsum(np.diff(copy, prepend=-1).astype(bool) | np.diff(often, prepend=True)) - 1
+    kept = np.flatnonzero(often & (np.bincount(string, minlength=1)[string] >= w.need))
+    if not len(kept):
+        return kept, kept
+    string = np.cumsum(np.diff(string[kept], prepend=-1).astype(bool)) - 1
     # terminators are all different and below every block; the last one is the smallest
-    whole = np.array(text, np.int64)
-    whole = np.where(whole >= 0, whole + len(by) + 1, -whole)
+    slot, ends = np.arange(len(kept)) + string, np.flatnonzero(np.diff(string, append=-1))
+    whole = np.empty(len(kept) + len(ends), np.int64)
+    whole[slot], whole[slot[ends] + 1] = symbols[kept] + len(ends) + 1, np.arange(1, len(ends) + 1)
+    owner, place = np.zeros(len(whole), np.int64), np.zeros(len(whole), np.int64)
+    owner[slot], place[slot] = copy[kept], (lo[copies][copy] + inside)[kept]
     order = np.array(suffix_array([*whole.tolist(), 0])[1:], np.int64)
     ahead = np.concatenate((whole, -np.arange(1, w.need + 1)))
     alike = np.ones(max(len(order) - 1, 0), bool)
@@ -194,21 +238,21 @@ def _repeated(n: list[int], owners: list[int], back: np.ndarray, near: np.ndarra
     run = np.cumsum(np.concatenate(([True], ~alike)))
     taken = np.concatenate((alike, [False])) | np.concatenate(([False], alike))
     at, run = order[taken], run[taken]
-    string, at = np.array(owner, np.int64)[at], np.array(place, np.int64)[at]
+    string, at = owner[at], place[at]
     member = copies[string]
     least, most = np.maximum(0, near[member] + w.block * at), np.minimum(w.block - 1, back[member] + w.block * at)
     some = least <= most
     string, member, at, run, least, most = string[some], member[some], at[some], run[some], least[some], most[some]
     if not len(member):
         return member, at
-    group, of = run * (4 * w.length) + at + 2 * w.length, np.array(by, np.int64)[string]
+    group, of = run * (4 * w.length) + at + 2 * w.length, by[string]
     buffer = np.frombuffer(b"".join(data), np.uint8)
     starts = np.cumsum([0, *map(len, data[:-1])])[member] + (back[member] + w.block * at) * w.unit
     tail = w.length - w.need * w.block
     before = buffer[np.maximum(starts[:, None] - np.arange(1, (w.block - 1) * w.unit + 1), 0)]
     behind = buffer[np.minimum(starts[:, None] + w.need * block + np.arange(tail * w.unit), len(buffer) - 1)]
     left, right = _orders(group, before), _orders(group, behind)
-    found_member, found_offset = [], []
+    found = np.zeros(len(data) * w.length, bool)
     for s in range(w.block):  # windows that begin s units before the blocks
         fits = np.flatnonzero((least <= s) & (s <= most))
         if not len(fits):
@@ -219,9 +263,8 @@ def _repeated(n: list[int], owners: list[int], back: np.ndarray, near: np.ndarra
         first = np.flatnonzero(new)
         apart = np.minimum.reduceat(of[fits], first) != np.maximum.reduceat(of[fits], first)
         twice = fits[apart[np.cumsum(new) - 1]]
-        found_member.append(member[twice])
-        found_offset.append(s - w.block * at[twice])
-    found = np.unique(np.concatenate(found_member) * w.length + np.concatenate(found_offset)) if found_member else np.zeros(0, np.int64)
+        found[member[twice] * w.length + s - w.block * at[twice]] = True
+    found = np.flatnonzero(found)
     return found // w.length, found % w.length
 
 

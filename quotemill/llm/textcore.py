@@ -29,7 +29,7 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS = [np.ones(0, np.uint64), np.ones(0, np.uint64)]
 
 
-def _powers(n: int) -> list[np.ndarray]:
+def powers(n: int) -> list[np.ndarray]:
     if len(_POWERS[0]) < n:
         for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
             steps = np.full(max(n, SEGMENT + 1), base, np.uint64)
@@ -140,7 +140,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, table: np.ndarray = None)
         edges = np.clip(offsets[i : hi + 1] - a, 0, b - a)
         counts[i : i + len(edges) - 1] += np.diff(np.searchsorted(starts, edges))
         if len(starts):
-            forward, back = _powers(b - a)
+            forward, back = powers(b - a)
             value *= forward[: b - a]
             out.append(mix(np.add.reduceat(value, starts) * back[starts]))
     return (np.concatenate(out) if out else np.zeros(0, np.uint64)), counts

@@ -1,8 +1,11 @@
 import collections
+import cProfile
 import hashlib
+import pstats
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quotemill.llm import suffix_dedup
@@ -88,5 +91,57 @@ def test_the_order_decides(monkeypatch):
     assert not len(member)
 
 
+class Frame:
+    """Hands the function of `mapInArrow` back."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, function, schema):  # noqa: N802
+        return function
+
+
+@pytest.mark.parametrize("windows", [suffix_dedup.BYTES, suffix_dedup.words_of(51)])
+def test_anchors_are_hashed_by_the_batch(windows):
+    rng = random.Random(11)
+    texts = [" ".join(f"w{rng.randrange(4000)}" for _ in range(rng.randrange(900))) for _ in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), pa.array(range(300), pa.int64()), pa.array(texts)], names=["id", "row", "text"])
+    find, profile = suffix_dedup._anchors_of(Frame(), windows), cProfile.Profile()
+    made = profile.runcall(lambda: sum(b.num_rows for b in find([batch])))
+    assert made > 5000 and pstats.Stats(profile).total_calls < made / 2  # some calls a batch, none an anchor
+
+
+def test_long_texts_are_anchored_in_parts():
+    rng = random.Random(12)
+    texts = [bytes(rng.randrange(97, 123) for _ in range(n)) for n in (0, 399, 400, 5000, 3000, 0, 1700)]
+    texts += [texts[3], b"\0" * 1500, b"\0" * 900]
+    units, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    whole = b"".join(texts)
+    for limit in (1 << 18, 2000, 450, 37):
+        keys, contexts, covered = {}, {}, []
+        for at, first, last, key, context in suffix_dedup.anchors(units, offsets, limit=limit):
+            for a, b, c, k, h in zip(*(x.tolist() for x in (at, first, last, key, context))):
+                assert b <= c <= a < b + 200
+                assert keys.setdefault(k, whole[a : a + 200]) == whole[a : a + 200]
+                assert contexts.setdefault(h, (a - b, a - c, whole[b : c + 400])) == (a - b, a - c, whole[b : c + 400])
+                covered += range(b, c + 1)
+        assert len(set(keys.values())) == len(keys) and len(set(contexts.values())) == len(contexts)
+        assert covered == [i for a, b in zip(offsets[:-1], offsets[1:]) for i in range(a, b - 399)]
+
+
+def test_blocks_that_occur_once_are_not_sorted(monkeypatch):
+    rng = random.Random(13)
+    text = lambda n: bytes(rng.randrange(97, 123) for _ in range(n))
+    sizes, sort = [], suffix_dedup.suffix_array
+    monkeypatch.setattr(suffix_dedup, "suffix_array", lambda x: sizes.append(len(x)) or sort(x))
+    key, back, near = text(200), np.full(40, 199), np.zeros(40, np.int64)
+    data = [text(199) + key + text(200) for _ in range(40)]
+    member, _ = suffix_dedup._repeated([1] * 40, list(range(40)), back, near, data)
+    assert not len(member) and not sizes
+    data[7] = data[3]
+    member, _ = suffix_dedup._repeated([1] * 40, list(range(40)), back, near, data)
+    assert set(member.tolist()) == {3, 7} and sizes == [25]  # two strings of eleven blocks, their ends and the last symbol
+
+
 def test_empty(spark):
     assert suffix_dedup.cut_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
